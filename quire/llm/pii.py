@@ -42,7 +42,7 @@ from ._store import KeyBits, key_flag, materialize, text_key
 from ._words import rows_out
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, SUPPORT, ALPHA, TERM_BITS = 8, 3, 1.25, 1 << 23
+REACH, SUPPORT, ALPHA, TERM_BITS = 8, 2, 1.25, 1 << 23
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
