@@ -12,8 +12,8 @@ of one word repeated costs n log n.  Packed longs keep the sorts primitive: 36 b
 of hash and 28 of position, then 6 of bucket, 30 of rank and 28 of position.
 
 The next document is found without one global sort: rows are dealt by ``doc_id`` in
-blocks of 1024 ids, each block leads in its own window, and its last row takes the
-first row of the next block that exists.
+blocks of 1024 ids, each block leads in its own window, and a copy of the first row
+of the next block that exists stands behind its last row.
 
 Results for odd rows: null texts count as empty; empty texts have the empty
 fingerprint, like to each other (1.0) and to nothing else (0.0); repeated ids are
@@ -37,7 +37,7 @@ def _right(x: Column, n: int) -> Column:
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K) -> DataFrame:
-    """Add ``out``: array<long> of bucket * 2**24 + 24 bits of its tuple's hash.
+    """Add ``out``: array<int> of bucket * 2**24 + 24 bits of its tuple's hash.
 
     Each step is a column used more than once by the next, which keeps the optimizer
     from working a step out again for every element.
@@ -81,7 +81,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K) -> DataFram
         both = F.when(x.bitwiseAND(F.lit(_POS)) < y.bitwiseAND(F.lit(_POS)), F.xxhash64(rank(x), rank(y))).otherwise(F.xxhash64(rank(y), rank(x)))
         value = F.when(pair, both).otherwise(F.xxhash64(rank(x)))
         number = (bucket(x) + BUCKETS // 2) * (1 << 24) + value.bitwiseAND(F.lit((1 << 24) - 1))
-        return F.when(first, number)
+        return F.when(first, number.cast("int"))
 
     df = df.withColumn(out, F.filter(F.transform(T, tuple_of), lambda x: x.isNotNull()))
     return df.drop(w, h, s, t)
@@ -97,37 +97,33 @@ def as_text(signature: str) -> Column:
     return F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(x), 8, "0")), "")
 
 
-def with_next(df: DataFrame, carry: list[str]) -> DataFrame:
-    """Add ``next_<c>`` of the next row in the order of doc_id (after the last: the first)."""
+def with_guests(df: DataFrame) -> DataFrame:
+    """Add __block and __guest: blocks of 1024 ids, and after each block's own rows
+    (guest 0) a copy of the first row of the block that follows it (guest 1; the last
+    block is followed by the first).  Only these copies move before the one shuffle."""
     block = F.floor(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) / BLOCK_IDS)
     df = df.withColumn("__block", F.when(F.col("doc_id").isNull(), F.lit(-(1 << 60))).otherwise(block))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
-    row = F.struct(*carry)
-
-    # First row of every block, for the last row of the block before it.
     least = df.groupBy("__block").agg(F.min("doc_id").alias("__id"))
-    one = F.broadcast(least) if least.limit(FEW + 1).count() <= FEW else least
-    named = one.select(F.col("__block").alias("__b2"), F.col("__id").alias("__id2"))
-    heads = df.join(named, (F.col("__block") == F.col("__b2")) & F.col("doc_id").eqNullSafe(F.col("__id2"))).drop("__b2", "__id2")
-    heads = heads.withColumn("__n", F.row_number().over(Window.partitionBy("__block").orderBy(*order))).where("__n = 1").select("__block", row.alias("__head"))
-    blocks = least.select("__block")
     over = Window.orderBy("__block")  # a row for each block of ids
-    wrap = blocks.agg(F.min("__block").alias("__least"))
-    after = blocks.withColumn("__after", F.lead("__block").over(over)).join(F.broadcast(wrap)).select("__block", F.coalesce("__after", "__least").alias("__after"))
-    heads = after.join(heads.withColumnRenamed("__block", "__after"), "__after").select("__block", "__head")
+    wrap = least.agg(F.max("__block").alias("__most"))
+    ahead = least.withColumn("__host", F.lag("__block").over(over)).join(F.broadcast(wrap)).select(F.col("__block").alias("__b2"), F.col("__id").alias("__id2"), F.coalesce("__host", "__most").alias("__host"))
+    ahead = F.broadcast(ahead) if least.limit(FEW + 1).count() <= FEW else ahead
+    guests = df.join(ahead, (F.col("__block") == F.col("__b2")) & F.col("doc_id").eqNullSafe(F.col("__id2")))
+    own = df.withColumn("__guest", F.lit(0))
+    return own.unionByName(guests.select(*[F.col("__host").alias("__block") if c == "__block" else F.col(c) for c in df.columns], F.lit(1).alias("__guest")))
 
-    place = Window.partitionBy("__block").orderBy(*order)
-    led = df.withColumn("__lead", F.lead(row).over(place))
-    inner = led.where(F.col("__lead").isNotNull())
-    outer = led.where(F.col("__lead").isNull()).drop("__lead").join(heads, "__block").withColumnRenamed("__head", "__lead")
-    both = inner.unionByName(outer)
-    return both.select(*[c for c in df.columns if c != "__block"], *[F.col(f"__lead.{c}").alias(f"next_{c}") for c in carry])
+
+def with_next(df: DataFrame, carry: list[str]) -> DataFrame:
+    """Own rows with ``next_<c>`` of the next row by doc_id (after the last: the first)."""
+    order = [F.col("__guest"), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
+    led = df.withColumn("__lead", F.lead(F.struct(*carry)).over(Window.partitionBy("__block").orderBy(*order))).where("__guest = 0")
+    return led.select(*[c for c in df.columns if c not in ("__block", "__guest")], *[F.col(f"__lead.{c}").alias(f"next_{c}") for c in carry])
 
 
 def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = with_next(with_fingerprint(rows, "text", "sig", k), ["text", "sig"])
+    rows = with_next(with_fingerprint(with_guests(rows), "text", "sig", k), ["text", "sig"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sig", "next_sig", edited.alias("edited"))
