@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _S = r"[\s\x1c-\x1f]"
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
@@ -89,7 +90,7 @@ def table_number(c: Column) -> Column:
     return _captioned(c, r"(?iU)^\s*table\s+([0-9]+)\b")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """HTML entities to characters (no built-in does this)."""
     return s.map(html.unescape, na_action="ignore")
@@ -150,7 +151,7 @@ def table_identifier(number: Column, caption: Column) -> Column:
     return F.coalesce(number.cast("string"), F.when(caption != "", F.regexp_replace(safe, r"^_+|_+\z", "")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold(s: pd.Series) -> pd.Series:
     """Unescaped, lowered, then NFKC (in this order; no built-in does NFKC)."""
     return s.map(lambda t: unicodedata.normalize("NFKC", html.unescape(t).lower()), na_action="ignore")

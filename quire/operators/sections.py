@@ -14,8 +14,6 @@ WORDS = {"methods": ["method", "methods", "methodology"], "results": ["result",
 ABSTRACT_LEADS = ["abstract", "purpose", "background", "objective", "objectives", "study design", "materials and methods", "methods", "results", "conclusion", "conclusions"]
 KEYWORD_LEADS = ["key words", "keywords"]
 
-_DOC = Window.partitionBy("doc_id")
-
 
 def section_of(kind: Column, page: Column, level: Column, content: Column, abstract: Column) -> Column:
     """Section that a block starts, or null.  ``abstract`` is struct(page, level) of
@@ -34,7 +32,7 @@ def with_abstract(blocks: DataFrame) -> DataFrame:
     """Add ``abstract``: struct(page, level) of the first abstract heading."""
     here = (F.col("type") == "heading") & (T.normalize(F.col("content")) == "abstract")
     meta = F.struct("page", F.coalesce("level", F.lit(0)).alias("level"))
-    return blocks.withColumn("abstract", F.min_by(F.when(here, meta), F.when(here, F.col("pos"))).over(_DOC))
+    return blocks.withColumn("abstract", F.min_by(F.when(here, meta), F.when(here, F.col("pos"))).over(Window.partitionBy("doc_id")))
 
 
 def explicit_starts(blocks: DataFrame) -> DataFrame:

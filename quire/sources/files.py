@@ -22,8 +22,8 @@ def _stem(name: Column) -> Column:
 
 
 def _whole(spark: SparkSession, path: str, doc: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
-    df = (reader.option("recursiveFileLookup", True) if recursive else reader).text(path)
+    reader = spark.read.option("pathGlobFilter", pattern)
+    df = (reader.option("recursiveFileLookup", True) if recursive else reader).text(path, wholetext=True)
     return df.select(F.regexp_extract("_metadata.file_path", doc, 1).alias("doc_id"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
 
 
