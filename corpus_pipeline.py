@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import decontaminate, ngram_join, packing, pii, quality
-from quire.llm._store import materialize
+from quire.llm._store import materialize, small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 

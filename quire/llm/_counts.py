@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._store import partitions
-from ._words import mix
+from ._words import mix, rows_in
 
 MAX_BITS = 1 << 30
-_FLUSH = 1 << 22
+_FLUSH = 1 << 20
 _BLOB = pa.schema([("seg", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())])
 
 
@@ -105,19 +105,19 @@ class LogFilter:
         return out
 
 
-def key_blobs(docs: DataFrame, keys_of: Callable[[], Callable[[dict], np.ndarray]], segments: int) -> DataFrame:
+def key_blobs(docs: DataFrame, keys_of: Callable[[], Callable[[dict], np.ndarray]], segments: int, flush: int = _FLUSH) -> DataFrame:
     """Rows of packed keys.  ``keys_of()`` is called once in a worker and gives a
     function from a row (a dict of the columns) to an array of 64-bit keys."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, held, n = keys_of(), [], 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 k = f(row)
                 if len(k):
                     held.append(k)
                     n += len(k)
-                if n >= _FLUSH:
+                if n >= flush:
                     yield pack(*np.unique(np.concatenate(held), return_counts=True), segments)
                     held, n = [], 0
         if n:

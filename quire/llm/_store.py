@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +59,24 @@ def text_key() -> "F.Column":
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts are long: lower the session's rows in an Arrow batch to ``rows`` where it
+    is higher, for the memory of executors and Python workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` as one struct ``doc``, with the named columns beside it: columns that
+    an operator adds cannot clash with those that rows bring along."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *names)
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("doc.*")
+
+
 class KeyBits:
     """A one-hash Bloom filter of at most ``bits`` bits, gathered by bitwise or.
 
@@ -70,15 +87,15 @@ class KeyBits:
     def __init__(self, words: np.ndarray, bits: int):
         self.words, self.bits = words, bits
 
+    @staticmethod
+    def table(df: DataFrame, key: str, bits: int = 1 << 22) -> DataFrame:
+        """(w, b): the filter's words that have bits, bits/64 rows at most."""
+        slot = df.select(F.pmod(F.col(key), F.lit(bits)).alias("s"))
+        return slot.groupBy((F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b"))
+
     @classmethod
     def of(cls, df: DataFrame, key: str, bits: int = 1 << 22) -> "KeyBits":
-        slot = F.pmod(F.col(key), F.lit(bits))
-        rows = (
-            df.select(slot.alias("s"))
-            .groupBy((F.col("s") / 64).cast("int").alias("w"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b"))
-            .toArrow()
-        )
+        rows = cls.table(df, key, bits).toArrow()
         words = np.zeros(bits // 64, np.int64)
         words[rows["w"].to_numpy()] = rows["b"].to_numpy()
         return cls(words.view(np.uint64), bits)
@@ -88,12 +105,11 @@ class KeyBits:
         return (self.words[s >> 6] >> (s & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
-def key_flag(spark: SparkSession, kept: KeyBits):
-    """A column function: may the key be among those of ``kept``?"""
-    shared = spark.sparkContext.broadcast(kept)
-
-    @F.pandas_udf("boolean")
-    def flag(k: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.has(k.to_numpy()))
-
-    return flag
+def with_maybe(df: DataFrame, key: str, kept: DataFrame, of: str, bits: int = 1 << 22) -> DataFrame:
+    """Add ``maybe``: may the row's ``key`` be among column ``of`` of ``kept``?  The
+    filter's words are broadcast as a table of fixed size and met in the JVM."""
+    words = KeyBits.table(kept, of, bits).select(F.col("w").alias("maybe_w"), F.col("b").alias("maybe_b"))
+    slot = F.pmod(F.col(key), F.lit(bits))
+    met = df.withColumn("maybe_s", slot).join(F.broadcast(words), F.col("maybe_w") == (F.col("maybe_s") / 64).cast("int"), "left")
+    bit = F.expr("coalesce(shiftrightunsigned(maybe_b, cast(maybe_s % 64 as int)) & 1L, 0L) = 1L")
+    return met.withColumn("maybe", bit).drop("maybe_s", "maybe_w", "maybe_b")

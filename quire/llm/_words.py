@@ -21,7 +21,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WordHash(dict):
     """Word to 64-bit hash, remembered for up to ``limit`` words at a time."""
 
-    def __init__(self, seed: int = 0, limit: int = 1 << 20):
+    def __init__(self, seed: int = 0, limit: int = 1 << 18):
         super().__init__()
         self.seed, self.limit = seed, limit
 
@@ -94,5 +94,12 @@ def runs(indexes: np.ndarray, *same: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(np.r_[0, at + 1].tolist(), np.r_[at, len(indexes) - 1].tolist(), strict=True)
 
 
+def rows_in(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dicts, one at a time, so that a batch's texts are not copied at once."""
+    names = batch.schema.names
+    for i in range(batch.num_rows):
+        yield {n: c[i].as_py() for n, c in zip(names, batch.columns, strict=True)}
+
+
 def rows_out(schema: pa.Schema, columns: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

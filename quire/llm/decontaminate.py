@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import key_flag, KeyBits, materialize, text_key
+from ._store import materialize, packed, text_key, unpacked, with_maybe
 from ._words import mix, rows_out, run_hashes
 
 WINDOW = 13
@@ -210,8 +210,8 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated rows.  A filter of fixed size lets clean rows
     pass without a shuffle; what it holds back is settled by an exact join."""
-    bad = materialize(decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct().withColumn("__key", F.xxhash64("__id", "__row")), "contaminated")
-    flag = key_flag(docs.sparkSession, KeyBits.of(bad, "__key"))
-    keyed = docs.withColumn("__row", text_key()).withColumn("__maybe", flag(F.xxhash64("doc_id", "__row")))
-    held = keyed.where("__maybe").join(bad.select("__id", F.col("__row").alias("__row2")), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__row2")), "left_anti")
-    return keyed.where(~F.col("__maybe")).unionByName(held).select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = materialize(decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("id2"), F.col("row").alias("row2")).distinct().withColumn("key", F.xxhash64("id2", "row2")), "contaminated")
+    keyed = packed(docs, "doc_id", "text").withColumn("row", text_key()).withColumn("rowkey", F.xxhash64("doc_id", "row"))
+    keyed = with_maybe(keyed, "rowkey", bad, "key")
+    held = keyed.where("maybe").join(bad.select("id2", "row2"), F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("row") == F.col("row2")), "left_anti")
+    return unpacked(keyed.where(~F.col("maybe")).unionByName(held))

@@ -85,7 +85,7 @@ def _exact_counts(base: DataFrame) -> DataFrame:
             for raw in batch["raw"].to_pylist():
                 sums.update(words_of(raw))
                 sums[_END] += 1
-                if len(sums) > 1 << 20:
+                if len(sums) > 1 << 18:
                     yield rows()
         yield rows()
 
@@ -123,7 +123,7 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
 
         return keys
 
-    blobs = key_blobs(base.where(~F.col("held_out")).select("raw"), keys_of, segments)
+    blobs = key_blobs(base.where(~F.col("held_out")).select("raw"), keys_of, segments, 1 << 21)
     grams, _ = log_filter(blobs, segments, bits_for(3 * (total_chars(docs) // 6), MAX_BITS), hashes_per_level)
     shared = spark.sparkContext.broadcast((known, often, grams))
     below = 0.1 * (v + 1) + n

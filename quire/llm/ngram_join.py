@@ -41,8 +41,8 @@ from pyspark.sql.window import Window
 
 from ._counts import bits_for, key_blobs, log_filter, segments_for, total_chars
 from ._graph import components
-from ._store import KeyBits, materialize
-from ._words import WordHash, mix, rows_out, shingle_set, words_of
+from ._store import KeyBits, materialize, packed, unpacked
+from ._words import WordHash, mix, rows_in, rows_out, shingle_set, words_of
 
 BLOCK = 2048
 _SALT = np.uint64(0x5851F42D4C957F2D)
@@ -144,7 +144,7 @@ def document_sets(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFram
         sets_of, known = shingler(n)(), shared.value
         for batch in batches:
             rows, size = [], 0
-            for i, row in enumerate(batch.to_pylist()):
+            for i, row in enumerate(rows_in(batch)):
                 rows.append((row["doc_id"], sets_of(row)))
                 size += len(rows[-1][1])
                 if size > 1 << 18 or i == batch.num_rows - 1:
@@ -194,7 +194,7 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
         for batch in batches:
             kept = batch.filter(pa.array(mine.value.has(batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False))))
             cols: dict[str, list] = {f.name: [] for f in schema}
-            for row in kept.to_pylist():
+            for row in rows_in(kept):
                 s = sets_of(row)
                 if len(s) and row["doc_id"] is not None:
                     cols["node"].append(row["doc_id"])
@@ -236,9 +236,9 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     found = materialize(ngram_join(docs, n, num, den).select("doc_id", "n_shingles", "component_id"), "joined")
     loses = found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
     twice = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(loses, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = packed(docs, "doc_id", "text").join(loses, "doc_id", "left_anti")
     if twice.isEmpty():
-        return kept
+        return unpacked(kept)
     place = Window.partitionBy("doc_id").orderBy("text")
-    again = kept.join(twice, "doc_id", "left_semi").withColumn("__place", F.row_number().over(place)).where("__place = 1").drop("__place")
-    return kept.join(twice, "doc_id", "left_anti").unionByName(again)
+    again = kept.join(twice, "doc_id", "left_semi").withColumn("place", F.row_number().over(place)).where("place = 1").drop("place")
+    return unpacked(kept.join(twice, "doc_id", "left_anti").unionByName(again))

@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._counts import bits_for, key_blobs, log_filter, segments_for, total_chars
-from ._store import KeyBits, key_flag, materialize, partitions, text_key
-from ._words import WordHash, rows_out, run_hashes, runs, window_minima
+from ._store import materialize, partitions, text_key, with_maybe
+from ._words import WordHash, rows_in, rows_out, run_hashes, runs, window_minima
 
 WINDOW, PHRASE = 50, 8
 _SENT = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("first", pa.int64()), ("text", pa.binary()), ("docs", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
@@ -64,12 +64,12 @@ def stretches(words: list[bytes], hashes: np.ndarray, passed: np.ndarray, window
 class Shard:
     """One shard: automaton of its phrases and first documents of its windows."""
 
-    def __init__(self, window: int):
+    def __init__(self, window: int, hashes: WordHash | None = None):
         self.window = window
         self.phrases: set[str] = set()
         self.automaton = None
         self.first: dict[int, int] = {}
-        self.hashes = WordHash()
+        self.hashes = WordHash() if hashes is None else hashes
 
     def locate(self, text: str) -> list[int]:
         """Word positions at which a phrase of the shard starts."""
@@ -111,7 +111,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
         return lambda row: np.unique(run_hashes(hashes.of(plain_words(row["raw"])), window))
 
     segments = segments_for(spark)
-    seen, _ = log_filter(key_blobs(base.select("raw"), keys_of, segments), segments, bits_for(total_chars(docs) // 6), first=2, top=2)
+    windows = total_chars(docs) // 6
+    bits = bits_for(windows)
+    seen, _ = log_filter(key_blobs(base.select("raw"), keys_of, segments), segments, bits, max(1, min(4, 4 * bits // max(1, windows))), first=2, top=2)
     shared = spark.sparkContext.broadcast(seen)
     shards = 8 * partitions(spark)
 
@@ -119,7 +121,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
         hashes, known = WordHash(), shared.value
         held: dict[tuple[int, bytes], tuple[list, list, list]] = {}
         phrases: set[tuple[int, bytes]] = set()
-        size = 0
+        size = places = 0
 
         def rows() -> pa.RecordBatch:
             cols: dict[str, list] = {f.name: [] for f in _SENT}
@@ -137,7 +139,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
             return rows_out(_SENT, cols)
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 words = plain_words(row["raw"])
                 if len(words) < window:
                     continue
@@ -147,25 +149,29 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
                     said = b" ".join(words[p : p + phrase])
                     shard = xxhash.xxh3_64_intdigest(said) % shards
                     text = b" ".join(words[a : b + window])
-                    ds, rs, starts = held.setdefault((shard, text), ([], [], []))
+                    if (shard, text) not in held:
+                        held[shard, text] = ([], [], [])
+                        size += len(text)
+                    ds, rs, starts = held[shard, text]
                     ds.append(row["doc"])
                     rs.append(row["row"])
                     starts.append(a)
                     phrases.add((shard, said))
-                    size += len(text)
-                if size > 1 << 25:
+                    places += 1
+                if size > 1 << 23 or places > 1 << 18:
                     yield rows()
-                    size = 0
+                    size = places = 0
         yield rows()
 
     # Words are bytes in the automaton's eyes: latin-1 maps each byte to a character.
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, own = None, Shard(window)
+        hashes = WordHash()
+        shard, own = None, Shard(window, hashes)
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in _FOUND}
-            for r in batch.to_pylist():
+            for r in rows_in(batch):
                 if r["shard"] != shard:
-                    shard, own = r["shard"], Shard(window)
+                    shard, own = r["shard"], Shard(window, hashes)
                 text = r["text"].decode("latin-1")
                 if r["kind"] == 0:
                     own.phrases.add(text)
@@ -211,8 +217,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text) for every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     ranges = materialize(repeated_ranges(docs, window, phrase).withColumn("key", F.xxhash64("doc", "row")), "repeats")
-    flag = key_flag(docs.sparkSession, KeyBits.of(ranges, "key"))
-    keyed = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), text_key().alias("row")).withColumn("maybe", flag(F.xxhash64(F.col("doc_id").cast("long"), "row")))
+    keyed = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), text_key().alias("row")).withColumn("rowkey", F.xxhash64(F.col("doc_id").cast("long"), "row"))
+    keyed = with_maybe(keyed, "rowkey", ranges, "key")
     met = keyed.where("maybe").join(ranges.select(F.col("doc"), F.col("row").alias("row2"), "ranges"), (F.col("doc_id") == F.col("doc")) & (F.col("row") == F.col("row2")), "left").select("doc_id", "raw", "ranges")
     every = met.unionByName(keyed.where(~F.col("maybe")).select("doc_id", "raw", F.lit(None).cast("array<long>").alias("ranges")))
 

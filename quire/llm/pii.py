@@ -16,7 +16,7 @@ under the threshold for that entity, else it is removed.
 
 Contexts count once each, so copies of a text support nothing.  Terms counted over
 all documents are only those near some entity often enough; a fixed-size filter
-(:class:`KeyBits`) picks them and the counts behind it are exact.
+(:func:`with_maybe`) picks them and the counts behind it are exact.
 
 Results for odd rows: null and empty texts have no spans (their digest is that of
 the empty string); rows that repeat doc_id and text give equal rows; null ids
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import KeyBits, key_flag, materialize, text_key
+from ._store import materialize, packed, text_key, unpacked, with_maybe
 from ._words import rows_out
 
 KINDS = ("email", "ip", "card", "phone")
@@ -164,7 +164,7 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
     together = materialize(together.join(entities, "e"), "together")
 
     # n(t), counted over all documents for the terms in question.
-    wanted = spark.sparkContext.broadcast(KeyBits.of(together.select(F.xxhash64("term").alias("k")), "k", TERM_BITS))
+    wanted = together.select(F.xxhash64("term").alias("k"))
     kinds = [r["term"] for r in together.where(F.col("term").startswith("\x00")).select("term").distinct().collect()]  # three shapes at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,12 +182,12 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
                     sums.update(terms)
                     if kinds:
                         sums.update({f"\x00{shape(t)}" for t in terms if len(t) > 2})
-            if len(sums) > 1 << 20:
+            if len(sums) > 1 << 18:
                 yield rows()
         yield rows()
 
-    flag = _term_flag(wanted)
-    counted = base.select("text").mapInArrow(count, "term string, n long").where(flag(F.xxhash64("term"))).groupBy("term").agg(F.sum("n").alias("n_t"))
+    every = base.select("text").mapInArrow(count, "term string, n long").withColumn("k", F.xxhash64("term"))
+    counted = with_maybe(every, "k", wanted, "k", TERM_BITS).where("maybe").groupBy("term").agg(F.sum("n").alias("n_t"))
     n = docs.count()
     scored = together.join(counted, "term").withColumn("pmi", F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))))
     over = materialize(scored.where(F.col("pmi") >= F.log2(F.lit(float(n)) / F.col("n_e")) / alpha).where(F.lit(float(n)) > F.col("n_e")).select("e", "term"), "over")
@@ -196,28 +196,20 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
     return seen.where("term is null").select("e", "doc").distinct(), materialize(flagged, "flagged")
 
 
-def _term_flag(shared):
-    @F.pandas_udf("boolean")
-    def flag(k: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.has(k.to_numpy()))
-
-    return flag
-
-
 def row_terms(docs: DataFrame, **knobs) -> DataFrame:
-    """__key (of doc_id and text), __terms, __shapes: what to hide beside base spans."""
+    """key (of doc_id and text), terms, shapes: what to hide beside base spans."""
     mentions, flagged = disclosing_terms(docs, **knobs)
-    got = mentions.join(flagged, "e").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("__terms"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("shapes", F.array().cast("array<string>"))))).alias("__shapes"))
-    return materialize(got.withColumnRenamed("doc", "__key2"), "terms")
+    got = mentions.join(flagged, "e").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("shapes", F.array().cast("array<string>"))))).alias("shapes"))
+    return materialize(got.withColumnRenamed("doc", "key2"), "terms")
 
 
-def _with_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``docs`` with __terms and __shapes; rows without any take no shuffle."""
-    flag = key_flag(docs.sparkSession, KeyBits.of(terms, "__key2"))
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", text_key())).withColumn("__maybe", flag("__key"))
+def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text and perhaps doc) with terms and shapes; those without any
+    take no shuffle."""
+    keyed = with_maybe(rows.withColumn("key", F.xxhash64("doc_id", text_key())), "key", terms, "key2")
     none = F.lit(None).cast("array<string>")
-    met = keyed.where("__maybe").join(terms, F.col("__key") == F.col("__key2"), "left").drop("__key2")
-    return met.unionByName(keyed.where(~F.col("__maybe")).withColumns({"__terms": none, "__shapes": none})).drop("__key", "__maybe")
+    met = keyed.where("maybe").join(terms, F.col("key") == F.col("key2"), "left").drop("key2")
+    return met.unionByName(keyed.where(~F.col("maybe")).withColumns({"terms": none, "shapes": none})).drop("key", "maybe")
 
 
 def all_spans(text: str | None, terms: list[str] | None) -> tuple[list[Span], list[Span]]:
@@ -237,7 +229,7 @@ def find_personal(docs: DataFrame, **knobs) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in schema}
-            for text, terms in zip(batch["text"].to_pylist(), batch["__terms"].to_pylist(), strict=True):
+            for text, terms in zip(batch["text"].to_pylist(), batch["terms"].to_pylist(), strict=True):
                 base, more = all_spans(text, terms)
                 for k in KINDS:
                     cols[f"n_{k}"].append(sum(s[0] == k for s in base))
@@ -247,7 +239,7 @@ def find_personal(docs: DataFrame, **knobs) -> DataFrame:
             out = rows_out(schema, cols)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *out.columns], ["doc_id", *schema.names])
 
-    joined = _with_terms(docs.select("doc_id", "text"), row_terms(docs, **knobs)).select("doc_id", "text", "__terms")
+    joined = _with_terms(docs.select("doc_id", "text"), row_terms(docs, **knobs)).select("doc_id", "text", "terms")
     return joined.mapInArrow(scan, f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string, n_term long")
 
 
@@ -278,5 +270,5 @@ def sanitised(docs: DataFrame, **knobs) -> DataFrame:
     def clean(text: pd.Series, terms: pd.Series, shapes: pd.Series) -> pd.Series:
         return pd.Series([sanitise(t, x, s) for t, x, s in zip(text, terms, shapes, strict=True)], dtype=object)
 
-    out = _with_terms(docs, row_terms(docs, **knobs)).withColumn("text", clean("text", "__terms", "__shapes"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = _with_terms(packed(docs, "doc_id", "text"), row_terms(docs, **knobs)).withColumn("clean", clean("text", "terms", "shapes"))
+    return unpacked(out.select(F.col("doc").withField("text", F.col("clean")).alias("doc")))

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialize
+from ._store import materialize, packed, unpacked
 from .toxicity import labelled_sample
 
 PER_CLASS, FOLDS, SITES = 3000, 5, 100_000
@@ -121,7 +121,7 @@ def _strength(between: Column, mean: Column) -> Column:
 
 
 def scored(docs: DataFrame, labels: DataFrame, trust: float = TRUST, swing: float = SWING, **knobs) -> DataFrame:
-    """``docs`` with __p (evidence), __host, __path (posteriors), __score, __keep."""
+    """doc (the whole row), doc_id, host, path, evidence, host_mean, path_mean, score, keep."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **knobs))
 
     @F.pandas_udf("double")
@@ -133,34 +133,35 @@ def scored(docs: DataFrame, labels: DataFrame, trust: float = TRUST, swing: floa
     host, path = _site(docs)
     # A row number would cost a shuffle; the evidence is worked out anew where it is
     # needed, which is a map over the text and moves nothing.
-    judged = docs.withColumns({"__h": host, "__s": path, "__p": evidence(F.col("text"))})
-    paths = materialize(judged.groupBy("__h", "__s").agg(F.count("*").alias("n"), F.sum("__p").alias("s")), "sites")
+    judged = packed(docs, "doc_id", "text", host.alias("host"), path.alias("path")).withColumn("evidence", evidence(F.col("text")))
+    paths = materialize(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("evidence").alias("s")), "sites")
     every = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     n, s = every["n"] or 0, every["s"] or 0.0
     mean = min(0.999, max(0.001, s / n)) if n else 0.5
-    hosts = paths.groupBy("__h").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     spread = hosts.agg(F.sum(F.col("hn") * (F.col("hs") / F.col("hn") - mean) ** 2) / F.sum("hn")).first()[0] or 0.0
-    hosts = hosts.withColumn("host", (F.col("hs") + _strength(F.lit(spread), F.lit(mean)) * mean) / (F.col("hn") + _strength(F.lit(spread), F.lit(mean))))
-    both = paths.join(hosts, "__h")
-    within = both.agg(F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col("host")) ** 2) / F.sum("n")).first()[0] or 0.0
-    prior = _strength(F.lit(within), F.col("host"))
-    sites = materialize(both.select(F.col("__h").alias("__h2"), F.col("__s").alias("__s2"), F.col("host").alias("__host"), ((F.col("s") + prior * F.col("host")) / (F.col("n") + prior)).alias("__path")), "posteriors")
+    prior = _strength(F.lit(spread), F.lit(mean))
+    hosts = hosts.withColumn("host_mean", (F.col("hs") + prior * mean) / (F.col("hn") + prior))
+    both = paths.join(hosts, "host")
+    within = both.agg(F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col("host_mean")) ** 2) / F.sum("n")).first()[0] or 0.0
+    prior = _strength(F.lit(within), F.col("host_mean"))
+    sites = materialize(both.select(F.col("host").alias("host2"), F.col("path").alias("path2"), "host_mean", ((F.col("s") + prior * F.col("host_mean")) / (F.col("n") + prior)).alias("path_mean")), "posteriors")
     small = sites.limit(SITES + 1).count() <= SITES
-    met = judged.join(F.broadcast(sites) if small else sites, (F.col("__h") == F.col("__h2")) & (F.col("__s") == F.col("__s2")), "left")
+    met = judged.join(F.broadcast(sites) if small else sites, (F.col("host") == F.col("host2")) & (F.col("path") == F.col("path2")), "left")
     limit = lambda c: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), c))
-    site = trust * (_logit(limit(F.col("__path"))) - _logit(F.lit(mean)))
+    site = trust * (_logit(limit(F.col("path_mean"))) - _logit(F.lit(mean)))
     site = F.greatest(F.lit(-swing), F.least(F.lit(swing), site))
     worded = F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
-    z = F.when(worded, _logit(limit(F.col("__p"))) + site).otherwise(F.lit(-14.0))
-    return met.withColumn("__score", 1 / (1 + F.exp(-z))).withColumn("__keep", F.col("__score") >= 0.5).drop("__h2", "__s2")
+    z = F.when(worded, _logit(limit(F.col("evidence"))) + site).otherwise(F.lit(-14.0))
+    return met.withColumn("score", 1 / (1 + F.exp(-z))).withColumn("keep", F.col("score") >= 0.5)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **knobs) -> DataFrame:
     """doc_id, evidence, host and path posteriors, score and quality (0 or 1)."""
     few = docs.select(*[c for c in ("doc_id", "text", "source", "lang") if c in docs.columns])
-    return scored(few, labels, **knobs).select("doc_id", F.col("__h").alias("host"), F.col("__s").alias("path"), F.col("__p").alias("evidence"), F.col("__host").alias("host_mean"), F.col("__path").alias("path_mean"), F.col("__score").alias("score"), F.col("__keep").cast("int").alias("quality"))
+    return scored(few, labels, **knobs).select("doc_id", "host", "path", "evidence", "host_mean", "path_mean", "score", F.col("keep").cast("int").alias("quality"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **knobs) -> DataFrame:
     """``docs`` without the rows that are rejected."""
-    return scored(docs, labels, **knobs).where("__keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(scored(docs, labels, **knobs).where("keep"))

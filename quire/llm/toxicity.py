@@ -43,14 +43,14 @@ def term_buckets(word: str) -> tuple[int, ...]:
 
 
 class Terms(dict):
-    """Word to the columns it counts in, remembered for a million words at a time."""
+    """Word to the columns it counts in, remembered for some 260,000 words at a time."""
 
     def __init__(self, columns: dict[int, int] | None):
         super().__init__()
         self.columns = columns
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 18:
             self.clear()
         found = term_buckets(word)
         if self.columns is not None:

@@ -1,0 +1,372 @@
+"""Every operator against a plain version, and on odd rows."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import pytest
+from conftest import odd_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quire.llm import decontaminate, fingerprint, lm_score, ngram_join, packing, phrases, pii, quality, sharding, toxicity
+
+
+def by_id(df) -> dict:
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+# ---- 1: personal data -------------------------------------------------------------
+
+
+def test_base_spans(docs, rows):
+    got = by_id(pii.find_personal(docs))
+    assert any(r["n_email"] for r in got.values()) and any(r["n_card"] for r in got.values())
+    for doc, text, *_ in rows:
+        spans = brute.personal(text)
+        said = ",".join(f"{k}:{a}:{b}" for k, s in spans.items() for a, b in s)
+        r = got[doc]
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [len(s) for s in spans.values()]
+        assert r["base_sha256"] == brute.sha(said)
+        assert r["spans"].startswith(said)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab.@-+ ()0123459é", max_size=60))
+def test_base_spans_are_those_of_the_patterns(text):
+    want = [(k, a, b) for k, s in brute.personal(text).items() for a, b in s]
+    assert pii.base_spans(text) == want
+
+
+def test_terms_that_disclose_an_entity(spark):
+    rows = [(i, f"note {i} from zorblax alpha{i} mail boss@corp.example beta{i} ok", "en", "s", 1) for i in range(6)]
+    rows += [(100 + i, f"plain text {i} with common words from anyone ok mail note", "en", "s", 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = by_id(pii.find_personal(df))
+    for i in range(6):
+        text = rows[i][1]
+        a = text.index("zorblax")
+        assert got[i]["n_term"] == 1 and got[i]["spans"].endswith(f"term:{a}:{a + 7}")
+    assert all(got[100 + i]["n_term"] == 0 for i in range(60))
+    clean = by_id(pii.sanitised(df))
+    assert "zorblax" not in clean[0]["text"] and "boss@" not in clean[0]["text"] and "[EMAIL]" in clean[0]["text"]
+    assert clean[100]["text"] == rows[6][1]
+
+
+# ---- 2: n-gram Jaccard join -------------------------------------------------------
+
+
+@pytest.mark.parametrize(("n", "num", "block"), [(4, 85, 2048), (5, 80, 2048), (2, 60, 3)])
+def test_join(docs, rows, n, num, block):
+    want = brute.near_copies([(r[0], r[1]) for r in rows], n, num, 100)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs, n, num, 100, block).collect()}
+    assert got == want
+    assert len({c for _, c in want.values()}) < len(want)
+
+
+def test_divide_skip_finds_all_with_enough_overlap():
+    r = random.Random(3)
+    for _ in range(60):
+        sets = sorted((np.unique(np.array([r.randrange(40) for _ in range(r.randint(1, 30))], np.uint64)) for _ in range(25)), key=len)
+        links = list(ngram_join.links_within(sets, [0] * len(sets), 60, 100))
+        up = list(range(len(sets)))
+
+        def find(x, up=up):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in links:
+            k = len(np.intersect1d(sets[a], sets[b]))
+            assert 100 * k >= 60 * (len(sets[a]) + len(sets[b]) - k)
+            up[find(a)] = find(b)
+        for a in range(len(sets)):
+            for b in range(a):
+                k = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * k >= 60 * (len(sets[a]) + len(sets[b]) - k):
+                    assert find(a) == find(b)
+
+
+def test_one_document_of_each_group_stays(docs, rows):
+    want = brute.near_copies([(r[0], r[1]) for r in rows], 5, 80, 100)
+    got = sorted(r["doc_id"] for r in ngram_join.one_of_each(docs).collect())
+    assert got == sorted(d for d, (n, c) in want.items() if n == 0 or c == d)
+
+
+# ---- 3: packing -------------------------------------------------------------------
+
+
+def test_packing_keeps_all_words_and_every_constraint(docs, rows):
+    got = packing.pack(docs, capacity=100, n_cells=2).collect()
+    words = Counter()
+    used, sources, clusters = Counter(), defaultdict(list), defaultdict(list)
+    for r in got:
+        words[r["doc_id"]] += r["piece_words"]
+        if r["bin"] is not None and r["piece_words"] < 100:
+            used[r["bin"]] += r["piece_words"]
+            sources[r["bin"]].append(r["source"])
+    texts = {r[0]: " ".join((r[1] or "").lower().split()) for r in rows}
+    for r in got:
+        if r["bin"] is not None and r["piece_words"] < 100:
+            clusters[r["bin"]].append(texts[r["doc_id"]])
+    assert words == Counter({r[0]: len((r[1] or "").split()) for r in rows})
+    assert max(used.values()) <= 100
+    for b in used:
+        assert len(set(sources[b])) == len(sources[b]) and len(set(clusters[b])) == len(clusters[b])
+
+
+def test_the_tightest_compatible_bin_is_chosen():
+    r = random.Random(5)
+    for _ in range(50):
+        rows = [(r.randint(1, 30), r.randrange(4), r.randrange(12)) for _ in range(60)]
+        got = packing.pack_cell(*zip(*rows, strict=True), capacity=30)
+        bins: dict = {}
+        for row, _, b, n in got:
+            size, source, cluster = rows[row]
+            fits = {k: v for k, v in bins.items() if v[0] >= size and source not in v[1] and cluster not in v[2]} if size < 30 else {}
+            if fits:
+                assert b in fits and fits[b][0] == min(v[0] for v in fits.values())
+            else:
+                assert b not in bins
+            left, s, c = bins.get(b, (30, frozenset(), frozenset()))
+            bins[b] = (left - n, s | {source}, c | {cluster})
+
+
+# ---- 4: decontamination -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", [8_000_000, 100])
+def test_decontamination(docs, rows, items, block):
+    held = [(r["item_id"], r["text"]) for r in items.collect() if r["item_id"] is not None]
+    nameless = [(None, r["text"]) for r in items.collect() if r["item_id"] is None]
+    want = brute.leaks([(r[0], r[1]) for r in rows], held + nameless)
+    got = by_id(decontaminate.decontaminate(docs, items, block_chars=block))
+    named = brute.leaks([(r[0], r[1]) for r in rows], held)
+    for d, w in want.items():
+        g = got[d]
+        assert (g["n_words"], g["n_hit"], g["contaminated"]) == (w[0], w[1], w[4])
+        assert (g["n_items"], g["items_sha256"]) == (named[d][2], named[d][3])
+    assert any(w[4] for w in want.values())
+    kept = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()}
+    assert kept == {d for d, w in want.items() if not w[4]}
+
+
+# ---- 5: language model ------------------------------------------------------------
+
+
+def test_base_scores_are_exact_at_any_cut(docs, rows):
+    want = brute.token_scores([(r[0], r[1]) for r in rows])
+    for common in (1 << 19, 20, 0):
+        got = by_id(lm_score.score(docs, common=common))
+        for d, w in want.items():
+            g = got[d]
+            assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == w[:4]
+            assert g["base_score"] == pytest.approx(w[4], rel=1e-9)
+            assert g["score"] < 0
+
+
+def test_filter_levels():
+    from quire.llm import _counts
+
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64))
+    counts = np.arange(len(keys)) % 40 + 1
+    f = _counts.LogFilter(np.zeros(1 << 16, np.uint8), 64, 2, 24)
+    seg, rest = f.split(keys)
+    for level in range(1, 7):
+        m = np.floor(np.log2(counts)) + 1 >= level
+        for slot in f._slots(rest[m], level):
+            p = seg[m] * np.uint64(f.slice) + slot
+            np.bitwise_or.at(f.data, p >> np.uint64(3), (1 << (p & np.uint64(7))).astype(np.uint8))
+    got = f.levels(keys)
+    want = np.floor(np.log2(counts)) + 1
+    assert (got >= want).all() and (got == want).mean() > 0.97
+    more = pack_round_trip(_counts, keys, counts)
+    assert more == counts.sum()
+
+
+def pack_round_trip(counts_module, keys, counts) -> int:
+    batch = counts_module.pack(keys, counts.astype(np.int64), 64)
+    total = 0
+    for k, m in zip(batch["keys"].to_pylist(), batch["more"].to_pylist(), strict=True):
+        total += counts_module.unpack([k], [m])[1].sum()
+    return int(total)
+
+
+# ---- 6: sharding ------------------------------------------------------------------
+
+
+def test_sharding(docs, rows):
+    import zlib
+
+    got = sharding.shard(docs).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 40)
+    texts = {r[0]: (r[1] or "").encode() for r in rows}
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(r["size"] == len(texts[r["doc_id"]]) + 16 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]]) for r in got)
+
+
+def test_shards_are_those_of_sql_and_balanced(spark):
+    import duckdb
+
+    df = spark.range(4000).selectExpr("id as doc_id", "'t' as text")
+    got = {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in sharding.shard(df).collect()}
+    con = duckdb.connect()
+    con.sql("create view documents as select range as doc_id, 't' as text from range(4000)")
+    want = {r[0]: (r[1], r[2]) for r in con.sql(f"select doc_id, shard, grown_shard from ({sharding.oracle()})").fetchall()}
+    assert got == want
+    n = Counter(s for s, _ in got.values())
+    assert len(n) == 40 and max(n.values()) < 2 * min(n.values())
+    moved = sum(a != b for a, b in got.values())
+    assert 50 < moved < 160
+
+
+# ---- 7 and 8: classifiers ---------------------------------------------------------
+
+
+def test_machine_learns_a_pair_that_weights_cannot():
+    r = np.random.default_rng(2)
+    x = r.integers(0, 2, (2000, 2))
+    y = x[:, 0] ^ x[:, 1]
+    rows = [{10 + j: 1 for j in range(2) if v[j]} | {99: 1} for v in x]
+    m = toxicity.fit(rows, y)
+    xs = np.zeros((len(rows), len(m.w)))
+    for i, row in enumerate(rows):
+        for k in row:
+            xs[i, m.columns[k]] = np.log1p(1)
+    assert ((m.score(xs) >= 0.5) == y).mean() > 0.97
+
+
+def test_toxic_words_are_learnt(spark):
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    words = ["".join(r.choice("abcdefg") for _ in range(5)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(600):
+        w = [r.choice(words) for _ in range(40)]
+        bad = i % 6 == 0
+        if bad:
+            w[r.randrange(40)], w[r.randrange(40)] = "idiotic", "scumbag"
+        rows.append((i, " ".join(w), "en", "s", 1))
+        labels.append((i, 1, int(bad)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    lb = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = by_id(toxicity.score(df, lb))
+    held = [i for i in range(600) if got[i]["held_out"]]
+    assert len(held) > 80 and np.mean([got[i]["predicted"] == int(i % 6 == 0) for i in held]) > 0.95
+
+
+def test_quality_follows_labels_and_shrinks_sites(spark):
+    r = random.Random(6)
+    rows, labels = [], []
+    for i in range(400):
+        w = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(50)]
+        bad = i % 4 == 0
+        text = " ".join(x.upper() + "!!" for x in w) if bad else " ".join(w).capitalize() + "."
+        rows.append((i, text, "en", f"http://host{i % 3}.org/p{i % 2}/x" if i != 399 else "http://lone.org", 1))
+        labels.append((i, int(not bad), 0))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    lb = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = by_id(quality.classify(df, lb))
+    assert all(got[i]["quality"] == int(i % 4 != 0) for i in range(400))
+    assert got[0]["host"] == "host0.org" and got[0]["path"] == "p0"
+    overall = np.mean([g["evidence"] for g in got.values()])
+    assert abs(got[399]["host_mean"] - overall) < 0.2  # one row says little
+
+
+# ---- 9: fingerprints --------------------------------------------------------------
+
+
+def test_fingerprints(docs, rows):
+    got = by_id(fingerprint.fingerprints(docs))
+    order = sorted(rows)
+    for i, (d, text, *_) in enumerate(order):
+        nxt = order[(i + 1) % len(order)][1]
+        half = len(text) // 2
+        assert got[d]["n_chars"] == len(text)
+        assert got[d]["edited_sha256"] == brute.sha(text[: len(text) - half] + nxt[:half])
+    same = defaultdict(set)
+    for d, text, *_ in rows:
+        same[text].add(got[d]["fingerprint"])
+    assert all(len(s) == 1 for s in same.values())
+    assert len({next(iter(s)) for s in same.values()}) == len(same)
+
+
+def test_order_matters_and_occurrences_count(spark):
+    w = [f"w{i}" for i in range(400)]
+    a, b = " ".join(w), " ".join(w[200:] + w[:200])
+    rows = [(1, a), (2, b), (3, "x y z " * 9), (4, "x y z " * 10), (5, a)]
+    df = fingerprint.with_fingerprint(spark.createDataFrame(rows, "doc_id bigint, text string"), "text", "sig")
+    sig = {r["doc_id"]: r["sig"] for r in df.collect()}
+    assert sig[1] == sig[5] and sig[1] != sig[2] and sig[3] != sig[4]
+    assert len(sig[1]) == 64
+
+
+# ---- 10: repeated phrases ---------------------------------------------------------
+
+
+@pytest.mark.parametrize(("window", "phrase"), [(50, 8), (9, 3)])
+def test_repeats(docs, rows, window, phrase):
+    want = brute.without_repeats([(r[0], r[1]) for r in rows], window)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in phrases.drop_repeats(docs, window, phrase).collect()}
+    assert got == want
+    assert any(w[1] for w in want.values())
+
+
+# ---- odd rows, empty tables -------------------------------------------------------
+
+RUNS = {
+    "pii": lambda d, i, lb: pii.find_personal(d), "sanitised": lambda d, i, lb: pii.sanitised(d), "join": lambda d, i, lb: ngram_join.ngram_join(d), "one_of_each": lambda d, i, lb: ngram_join.one_of_each(d),
+    "packing": lambda d, i, lb: packing.pack(d), "leaks": lambda d, i, lb: decontaminate.decontaminate(d, i), "drop_leaks": lambda d, i, lb: decontaminate.drop_contaminated(d, i), "lm": lambda d, i, lb: lm_score.score(d),
+    "shards": lambda d, i, lb: sharding.shard(d), "toxicity": lambda d, i, lb: toxicity.score(d, lb), "quality": lambda d, i, lb: quality.classify(d, lb), "keep_good": lambda d, i, lb: quality.keep_good(d, lb),
+    "fingerprints": lambda d, i, lb: fingerprint.fingerprints(d), "phrases": lambda d, i, lb: phrases.drop_repeats(d),
+}
+FILTERS = ("one_of_each", "drop_leaks", "keep_good")
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_odd_rows(name, odd, items, labels):
+    got = RUNS[name](odd, items, labels).collect()
+    n = odd.count()
+    if name in FILTERS:
+        assert 0 < len(got) <= n and set(got[0].asDict()) == set(odd.columns)
+    elif name == "packing":
+        assert {r["doc_id"] for r in got} == {r["doc_id"] for r in odd.select("doc_id").collect()}
+    else:
+        assert len(got) == n
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_empty_tables(name, empty, items, labels):
+    assert RUNS[name](empty, items.limit(0), labels.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["toxicity", "quality", "keep_good", "leaks", "drop_leaks"])
+def test_empty_side_tables(name, docs, rows, items, labels):
+    got = RUNS[name](docs, items.limit(0), labels.limit(0))
+    assert got.count() == len(rows)
+
+
+def test_results_for_odd_rows(odd, items):
+    one = lambda df, d: [r for r in df.collect() if r["doc_id"] == d]
+    p = pii.find_personal(odd)
+    assert one(p, 1_000_001)[0]["base_sha256"] == brute.sha("") and one(p, 1_000_006)[0]["n_card"] == 0
+    j = ngram_join.ngram_join(odd)
+    assert [(r["n_shingles"], r["component_id"]) for r in one(j, 1_000_002)] == [(0, 1_000_002)]
+    assert sorted(r["n_shingles"] for r in one(j, 1_000_004)) == [1, 1, 2]
+    kept = ngram_join.one_of_each(odd)
+    assert len(one(kept, 1_000_004)) == 1 and len(one(kept, None)) == 1 and len(one(kept, 1_000_001)) == 1
+    r = one(phrases.drop_repeats(odd), 1_000_007)[0]
+    assert (r["n_words"], r["n_removed"]) == (60_000, 0)
+    f = one(fingerprint.fingerprints(odd), 1_000_002)[0]
+    assert f["n_chars"] == 0 and f["fingerprint"] == ""
+    s = one(sharding.shard(odd), 1_000_001)[0]
+    assert (s["size"], s["text_crc32"]) == (16, 0)
+    b = one(packing.pack(odd), 1_000_001)[0]
+    assert b["bin"] is None and b["n_words"] == 0
+    assert len(odd_rows()) == 12
