@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,6 +25,11 @@ BOILERPLATE_INSIDE = ("extended author information available on the last page of
 MIN_LETTERS = 6
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is named there."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)^{_S}+|{_S}+\z", "")
 
@@ -46,9 +52,11 @@ def is_blank(c: Column) -> Column:
 
 def split_lines(c: Column) -> Column:
     """Lines without their ends; a last end makes no further line."""
-    lines = F.split(c, LINE_ENDS)
-    n = F.size(lines)
-    return F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), n - 1)).otherwise(lines)
+
+    def kept(lines: Column) -> Column:
+        return F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
+
+    return let(F.split(c, LINE_ENDS), kept)
 
 
 def strip_md(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..functions.frames import with_once
 
 #: Assets are a row for each figure or table of a document; up to this many are sent
 #: to all workers, more are joined by a shuffle.
@@ -32,7 +33,7 @@ def numbered(blocks: DataFrame) -> DataFrame:
     table = found(T.html_table(c), T.table_number(prev["content"]))
     got = F.when(F.col("type") == "figure", figure).when(F.col("type") == "table", table)
     category = F.when(F.col("type") == "figure", "images").when(F.col("type") == "table", "tables")
-    return df.withColumns({"category": category, "__x": got}).withColumns({"number": F.col("__x.number"), "caption_found": F.col("__x.caption")}).drop("__prev", "__x")
+    return with_once(df, {"category": category, "__x": got}).withColumns({"number": F.col("__x.number"), "caption_found": F.col("__x.caption")}).drop("__prev", "__x")
 
 
 def join_assets(blocks: DataFrame, assets: DataFrame) -> DataFrame:

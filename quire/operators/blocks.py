@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..functions.frames import spread
 
 _HTML = r"(?U)^[\s\x1c-\x1f]*<([a-zA-Z][a-zA-Z0-9]*)\b[^>]*>"
 _HEADING = r"(?dU)^(#{1,6})\s+(.*)\z"
@@ -75,24 +76,26 @@ def scan_lines(lines: Column) -> Column:
 
 def classify(block: Column) -> Column:
     """struct(type, level, content) of a raw block, null if it has no line."""
-    lines = F.filter(T.split_lines(block), lambda x: ~T.is_blank(x))
-    first = T.strip(F.element_at(lines, 1))
-    low = F.lower(first)
-    heading = (F.size(lines) == 1) & first.rlike(_HEADING)
-    kind = (
-        F.when(heading, "heading").when(low.startswith("<figure"), "figure").when(low.startswith("<table"), "table")
-        .when(is_html_start(first), "html").when(F.forall(lines, is_list_line), "list").otherwise("paragraph")
-    )
-    level = F.when(heading, F.length(F.regexp_extract(first, _HEADING, 1)))
-    content = F.when(heading, F.regexp_extract(first, _HEADING, 2)).otherwise(block)
-    return F.when(F.size(lines) > 0, F.struct(kind.alias("type"), level.alias("level"), content.alias("content")))
+
+    def typed(text: Column, lines: Column, first: Column) -> Column:
+        low = F.lower(first)
+        heading = (F.size(lines) == 1) & first.rlike(_HEADING)
+        kind = (
+            F.when(heading, "heading").when(low.startswith("<figure"), "figure").when(low.startswith("<table"), "table")
+            .when(is_html_start(first), "html").when(F.forall(lines, is_list_line), "list").otherwise("paragraph")
+        )
+        level = F.when(heading, F.length(F.regexp_extract(first, _HEADING, 1)))
+        content = F.when(heading, F.regexp_extract(first, _HEADING, 2)).otherwise(text)
+        return F.when(F.size(lines) > 0, F.struct(kind.alias("type"), level.alias("level"), content.alias("content")))
+
+    full = lambda text: F.filter(T.split_lines(text), lambda x: ~T.is_blank(x))
+    return T.let(block, lambda text: T.let(full(text), lambda lines: T.let(T.strip(F.try_element_at(lines, F.lit(1))), lambda first: typed(text, lines, first))))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Blocks of all documents.  Null and empty pages have none."""
     raw = pages.where("text is not null").select("doc_id", "page", F.posexplode(scan_lines(T.split_lines(F.col("text")))).alias("ord", "raw"))
-    typed = raw.select("doc_id", "page", "ord", classify(F.col("raw.text")).alias("b")).where("b is not null")
-    return number_blocks(typed.select("doc_id", "page", "ord", "b.type", "b.level", "b.content"), "page", "ord")
+    return number_blocks(spread(raw, ["doc_id", "page", "ord"], classify(F.col("raw.text"))), "page", "ord")
 
 
 def number_blocks(df: DataFrame, *order: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..functions.frames import with_once
 
 # Phrases that mark noise, front-page clutter and logos.
 NOISE_PHRASES = ("copyright", "all rights reserved")
@@ -93,7 +94,7 @@ def merge_paragraphs(blocks: DataFrame, least_words: int = 10) -> DataFrame:
     df = blocks.withColumn("__s", simple)
     w = Window.partitionBy("doc_id", "__s").orderBy("page", "pos")
     long = words > least_words
-    df = df.withColumns({"__end": F.coalesce(T.ends_broken(F.col("content")) & long, F.lit(False)), "__start": F.coalesce(T.starts_broken(F.col("content")) & long, F.lit(False))})
+    df = with_once(df, {"__end": F.coalesce(T.ends_broken(F.col("content")) & long, F.lit(False)), "__start": F.coalesce(T.starts_broken(F.col("content")) & long, F.lit(False))})
     df = df.withColumns({"__next": F.lead("content").over(w), "__link": F.col("__s") & F.col("__end") & F.coalesce(F.lead("__start").over(w), F.lit(False))})
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("__isle", F.sum(F.when(F.col("__link"), 0).otherwise(1)).over(upto))

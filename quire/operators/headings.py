@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import geometry as G
 from ..functions import text as T
+from ..functions.frames import with_once
 
 MAX_LEVEL = 5
 
@@ -107,7 +108,7 @@ def layout_order(layout: DataFrame) -> DataFrame:
 def match_boxes(headings: DataFrame, layout: DataFrame) -> DataFrame:
     """``headings`` (doc_id, pos, page, content) with bbox and bbox_page: equal text,
     the same page before others, else the first in reading order."""
-    key = headings.withColumn("norm", T.normalize(F.col("content")))
+    key = with_once(headings, {"norm": T.normalize(F.col("content"))})
     met = key.join(layout, ["doc_id", "norm"], "left")
     best = met.groupBy("doc_id", "pos").agg(F.min_by(F.struct("bbox", "layout_page"), F.struct((F.col("layout_page") != F.col("page")).alias("far"), "ord")).alias("x"))
     return headings.join(best, ["doc_id", "pos"]).withColumns({"bbox": F.col("x.bbox"), "bbox_page": F.col("x.layout_page")}).drop("x")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.frames import with_once
 
 THRESHOLD, SHOWN = 0.85, 30
 
@@ -14,7 +15,7 @@ def words_of(pairs: DataFrame) -> DataFrame:
     """Add digital_words and extracted_words (six letters or more) to pairs of
     digital_text and extracted_text."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return pairs.withColumns({"digital_words": T.long_words(T.normalize_digital(text("digital_text"))), "extracted_words": T.long_words(T.normalize_extracted(text("extracted_text")))})
+    return with_once(pairs, {"digital_words": T.long_words(T.normalize_digital(text("digital_text"))), "extracted_words": T.long_words(T.normalize_extracted(text("extracted_text")))})
 
 
 def unique_recall(digital: Column, extracted: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from ..functions.frames import with_once
 
 # Sections in their order, and the words that name them.
 ORDER = {"abstract": 0, "introduction": 1, "methods": 2, "results": 3, "discussion": 4, "conclusion": 5, "references": 6}
@@ -37,14 +38,14 @@ def with_abstract(blocks: DataFrame) -> DataFrame:
 
 def explicit_starts(blocks: DataFrame) -> DataFrame:
     """doc_id, pos, section of blocks that start a section by their own words."""
-    found = with_abstract(blocks).withColumn("section", section_of(F.col("type"), F.col("page"), F.col("level"), F.col("content"), F.col("abstract")))
+    found = with_once(with_abstract(blocks), {"section": section_of(F.col("type"), F.col("page"), F.col("level"), F.col("content"), F.col("abstract"))})
     return found.where("section is not null").select("doc_id", "pos", "section")
 
 
 def candidate_starts(blocks: DataFrame) -> DataFrame:
     """Explicit starts and those that stand in for missing front sections
     (``injected``): doc_id, pos, section, injected."""
-    found = with_abstract(blocks).withColumn("section", section_of(F.col("type"), F.col("page"), F.col("level"), F.col("content"), F.col("abstract")))
+    found = with_once(with_abstract(blocks), {"section": section_of(F.col("type"), F.col("page"), F.col("level"), F.col("content"), F.col("abstract"))})
     first = lambda s: F.min(F.when(F.col("section") == s, F.col("pos")))
     facts = found.groupBy("doc_id").agg(
         first("abstract").alias("a"), first("introduction").alias("i"), first("methods").alias("m"), F.count("section").alias("n"),

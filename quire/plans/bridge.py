@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import blocks as B
 from ..functions import text as T
+from ..functions.frames import spread
 
 _N = "CAST((d + n) % 5 + 1 AS STRING)"
 #: d: doc_id, n: line number, raw: the line.
@@ -73,8 +74,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of one line each: doc_id, pos, page, type, level, content."""
-    typed = lines(spark, sf_dir).withColumn("b", B.classify(T.strip(F.col("line")))).where("b is not null")
-    return B.number_blocks(typed.select("doc_id", "page", "n", "b.type", "b.level", "b.content"), "page", "n")
+    return B.number_blocks(spread(lines(spark, sf_dir), ["doc_id", "page", "n"], B.classify(T.strip(F.col("line")))), "page", "n")
 
 
 # ---- the same in SQL -------------------------------------------------------------

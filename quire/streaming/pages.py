@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as T
+from ..functions.frames import spread
 from ..operators import blocks, cleanup
 
 
 def line_blocks(pages: DataFrame) -> DataFrame:
     """doc_id, page, type, level, content, is_noise for a stream of pages; no state."""
     raw = pages.where("text is not null").select("doc_id", "page", F.explode(blocks.scan_lines(T.split_lines(F.col("text")))).alias("raw"))
-    typed = raw.select("doc_id", "page", blocks.classify(F.col("raw.text")).alias("b")).where("b is not null")
-    return typed.select("doc_id", "page", "b.*").withColumn("is_noise", cleanup.is_noise(F.col("content")))
+    return spread(raw, ["doc_id", "page"], blocks.classify(F.col("raw.text"))).withColumn("is_noise", cleanup.is_noise(F.col("content")))
 
 
 def on_documents(pages: DataFrame, store: str, process: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
