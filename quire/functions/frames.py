@@ -6,6 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores, dealt out to all of them (small files are
+    one split); others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are worked out once for each row.
 

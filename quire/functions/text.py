@@ -71,8 +71,12 @@ def normalize(c: Column) -> Column:
     return strip(F.regexp_replace(F.lower(strip_md(c)), "[^a-z0-9]+", " "))
 
 
+def plain_words(plain: Column) -> Column:
+    return F.regexp_count(plain, F.lit(r"(?U)\b\w+\b"))
+
+
 def word_count(c: Column) -> Column:
-    return F.regexp_count(strip_md(c), F.lit(r"(?U)\b\w+\b"))
+    return plain_words(strip_md(c))
 
 
 def _int(c: Column) -> Column:
@@ -85,8 +89,8 @@ def group(c: Column, pattern: str, index: int = 1) -> Column:
 
 
 def _captioned(c: Column, pattern: str) -> Column:
-    plain = strip_md(c)
-    return F.struct(_int(F.regexp_extract(plain, pattern, 1)).alias("number"), F.nullif(plain, F.lit("")).alias("caption"))
+    named = lambda plain: F.struct(_int(F.regexp_extract(plain, pattern, 1)).alias("number"), F.nullif(plain, F.lit("")).alias("caption"))
+    return let(strip_md(c), named)
 
 
 def figure_number(c: Column) -> Column:
@@ -140,8 +144,10 @@ def has_leading_word(normalized: Column, targets: list[str], first: int = 3) ->
 
 
 def ends_broken(c: Column) -> Column:
-    t = rstrip(c)
-    return F.when(t == "", False).when(t.rlike(r"[-,]\z"), True).when(t.rlike(r"[.!?]\z"), False).otherwise(word_count(t) > 3)
+    def judge(t: Column) -> Column:
+        return F.when(t == "", False).when(t.rlike(r"[-,]\z"), True).when(t.rlike(r"[.!?]\z"), False).otherwise(word_count(t) > 3)
+
+    return let(rstrip(c), judge)
 
 
 def starts_broken(c: Column) -> Column:

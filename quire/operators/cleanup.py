@@ -37,19 +37,25 @@ def _noise(plain: Column) -> Column:
 
 
 def is_noise(c: Column) -> Column:
-    return _noise(T.strip_md(c))
+    return T.let(T.strip_md(c), _noise)
 
 
 def is_front_matter(c: Column) -> Column:
     """Clutter of a first page; an empty text is none."""
-    plain = T.strip_md(c)
+    return T.let(T.strip_md(c), _front_matter)
+
+
+def _front_matter(plain: Column) -> Column:
     low = F.lower(plain)
     return (plain != "") & (low.isin(*FRONT_WHOLE) | plain.rlike(VOLUME) | plain.rlike(AUTHORS) | (low.contains("creative commons") & low.contains("license")) | _noise(plain))
 
 
 def is_running_head(c: Column) -> Column:
     """May the text be a running header or footer?"""
-    plain = T.strip_md(c)
+    return T.let(T.strip_md(c), _running_head)
+
+
+def _running_head(plain: Column) -> Column:
     journal = plain.rlike(r"(?idU)^(?=.*\d)(?=.*\bjournal\b)")
     numbered = plain.rlike(r"(?U)^\d+\b") & (F.size(F.split(plain, r"(?U)\s+")) <= 8)
     return _noise(plain) | journal | numbered | plain.rlike(r"(?U)^[A-Z][a-z]+\s+et\s+al\.?\s+\d+\z")
@@ -61,7 +67,8 @@ def is_logo(c: Column) -> Column:
 
 
 def drop_artifacts(blocks: DataFrame) -> DataFrame:
-    return blocks.where(~((F.col("type") == "paragraph") & is_noise(F.col("content"))))
+    df = with_once(blocks, {"__plain": T.strip_md(F.col("content"))})
+    return df.where(~((F.col("type") == "paragraph") & _noise(F.col("__plain")))).drop("__plain")
 
 
 def drop_logos(blocks: DataFrame) -> DataFrame:
@@ -72,15 +79,16 @@ def drop_running_heads(blocks: DataFrame, scan: int = 3, most_words: int = 10) -
     """Front matter of first pages, then the outer paragraphs of every page that look
     like running heads.  The order is by page, then position."""
     paragraph = F.col("type") == "paragraph"
-    df = blocks.where(~((F.col("page") == 1) & paragraph & is_front_matter(F.col("content"))))
+    df = with_once(blocks, {"__plain": T.strip_md(F.col("content"))})
+    df = df.where(~((F.col("page") == 1) & paragraph & _front_matter(F.col("__plain"))))
     page = Window.partitionBy("doc_id", "page")
     up, down = page.orderBy("pos"), page.orderBy(F.desc("pos"))
     other = F.when(paragraph, 0).otherwise(1)
     whole = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
     edge = lambda w: (F.row_number().over(w) <= scan) & (F.sum(other).over(whole(w)) == 0)
     df = df.withColumn("__edge", edge(up) | edge(down))
-    bad = F.col("__edge") & is_running_head(F.col("content")) & (T.word_count(F.col("content")) < most_words)
-    return df.where(~bad).drop("__edge")
+    bad = F.col("__edge") & _running_head(F.col("__plain")) & (T.plain_words(F.col("__plain")) < most_words)
+    return df.where(~bad).drop("__edge", "__plain")
 
 
 def merge_paragraphs(blocks: DataFrame, least_words: int = 10) -> DataFrame:
@@ -89,11 +97,10 @@ def merge_paragraphs(blocks: DataFrame, least_words: int = 10) -> DataFrame:
     Greedy pairing in a chain of links takes every odd link of the chain, so it is a
     window, not a loop.  Paragraphs that open with emphasis take no part.
     """
-    words = T.word_count(F.col("content"))
     simple = (F.col("type") == "paragraph") & ~T.lstrip(F.col("content")).startswith("*")
-    df = blocks.withColumn("__s", simple)
+    df = with_once(blocks, {"__s": simple, "__words": T.word_count(F.col("content"))})
     w = Window.partitionBy("doc_id", "__s").orderBy("page", "pos")
-    long = words > least_words
+    long = F.col("__words") > least_words
     df = with_once(df, {"__end": F.coalesce(T.ends_broken(F.col("content")) & long, F.lit(False)), "__start": F.coalesce(T.starts_broken(F.col("content")) & long, F.lit(False))})
     df = df.withColumns({"__next": F.lead("content").over(w), "__link": F.col("__s") & F.col("__end") & F.coalesce(F.lead("__start").over(w), F.lit(False))})
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import blocks as B
 from ..functions import text as T
-from ..functions.frames import spread
+from ..functions.frames import dealt, spread
 
 _N = "CAST((d + n) % 5 + 1 AS STRING)"
 #: d: doc_id, n: line number, raw: the line.
@@ -49,7 +49,7 @@ DRESS = f"""CASE (d * 7 + n * 3) % 31
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
