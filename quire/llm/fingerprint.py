@@ -105,8 +105,8 @@ def with_guests(df: DataFrame) -> DataFrame:
     df = df.withColumn("__block", F.when(F.col("doc_id").isNull(), F.lit(-(1 << 60))).otherwise(block))
     least = df.groupBy("__block").agg(F.min("doc_id").alias("__id"))
     over = Window.orderBy("__block")  # a row for each block of ids
-    wrap = least.agg(F.max("__block").alias("__most"))
-    ahead = least.withColumn("__host", F.lag("__block").over(over)).join(F.broadcast(wrap)).select(F.col("__block").alias("__b2"), F.col("__id").alias("__id2"), F.coalesce("__host", "__most").alias("__host"))
+    most = F.max("__block").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ahead = least.select(F.col("__block").alias("__b2"), F.col("__id").alias("__id2"), F.coalesce(F.lag("__block").over(over), most).alias("__host"))
     ahead = F.broadcast(ahead) if least.limit(FEW + 1).count() <= FEW else ahead
     guests = df.join(ahead, (F.col("__block") == F.col("__b2")) & F.col("doc_id").eqNullSafe(F.col("__id2")))
     own = df.withColumn("__guest", F.lit(0))
