@@ -43,14 +43,14 @@ def term_buckets(word: str) -> tuple[int, ...]:
 
 
 class Terms(dict):
-    """Word to the columns it counts in, remembered for some 260,000 words at a time."""
+    """Word to the columns it counts in, remembered for some 130,000 words at a time."""
 
     def __init__(self, columns: dict[int, int] | None):
         super().__init__()
         self.columns = columns
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 1 << 18:
+        if len(self) > 1 << 17:
             self.clear()
         found = term_buckets(word)
         if self.columns is not None:
@@ -80,29 +80,28 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(rows: list[dict[int, int]], labels: np.ndarray, kept: int = KEPT, factors: int = FACTORS, epochs: int = 60, seed: int = 7) -> Machine:
-    """Adam on the logistic loss, both classes weighing alike."""
+def fit(keys: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, kept: int = KEPT, factors: int = FACTORS, epochs: int = 30, seed: int = 7) -> Machine:
+    """Adam on the logistic loss, both classes weighing alike.  A row has distinct
+    buckets (``keys``) with their counts."""
     y = labels.astype(np.float64)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Machine(np.empty(0, np.int64), 30.0 if share else -30.0, np.zeros(0), np.zeros((0, factors)))
-    held = [Counter(), Counter()]
-    for r, t in zip(rows, labels, strict=True):
-        held[int(t)].update(dict.fromkeys(r, 1))
     n1, n0 = y.sum(), len(y) - y.sum()
-    seen = sorted(b for b in set(held[0]) | set(held[1]) if held[0][b] + held[1][b] >= 3)
-    a = np.array([held[1][b] for b in seen]) / n1
-    b = np.array([held[0][b] for b in seen]) / n0
+    row = np.repeat(np.arange(len(y)), [len(k) for k in keys])
+    key = np.concatenate(keys).astype(np.int64)
+    held = [np.bincount(key[y[row] == t], minlength=BUCKETS) for t in (0, 1)]
+    seen = np.flatnonzero(held[0] + held[1] >= 3)
+    a, b = held[1][seen] / n1, held[0][seen] / n0
     told = (a - b) ** 2 / (a * (1 - a) / n1 + b * (1 - b) / n0 + 1e-6)
-    buckets = np.array(seen, np.int64)[np.argsort(-told, kind="stable")[:kept]]
-    at = {int(x): i for i, x in enumerate(buckets)}
-    x = np.zeros((len(rows), len(buckets)), np.float32)
-    for i, r in enumerate(rows):
-        for k, c in r.items():
-            if k in at:
-                x[i, at[k]] = np.log1p(c)
+    buckets = seen[np.argsort(-told, kind="stable")[:kept]]
+    at = np.full(BUCKETS, -1)
+    at[buckets] = np.arange(len(buckets))
+    x = np.zeros((len(y), len(buckets)), np.float32)  # at most 2 * per_class by kept
+    used = at[key] >= 0
+    x[row[used], at[key[used]]] = np.log1p(np.concatenate(counts)[used])
     rng = np.random.default_rng(seed)
-    p = [np.zeros(1), np.zeros(len(buckets)), rng.normal(0, 0.02, (len(buckets), factors))]
+    p = [np.zeros(1, np.float32), np.zeros(len(buckets), np.float32), rng.normal(0, 0.02, (len(buckets), factors)).astype(np.float32)]
     m, s = [np.zeros_like(q) for q in p], [np.zeros_like(q) for q in p]
     weight = np.where(y > 0, len(y) / (2 * n1), len(y) / (2 * n0))
     step = 0
@@ -110,17 +109,17 @@ def fit(rows: list[dict[int, int]], labels: np.ndarray, kept: int = KEPT, factor
         order = rng.permutation(len(y))
         for i in range(0, len(y), 256):
             j = order[i : i + 256]
-            xb = x[j].astype(np.float64)
+            xb = x[j]
             xv = xb @ p[2]
             z = p[0][0] + xb @ p[1] + 0.5 * ((xv * xv).sum(1) - (xb * xb) @ (p[2] * p[2]).sum(1))
-            g = weight[j] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[j]) / len(j)
+            g = weight[j].astype(np.float32) * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[j]) / len(j)
             grads = [np.array([g.sum()]), xb.T @ g + 1e-4 * p[1], xb.T @ (g[:, None] * xv) - p[2] * ((xb * xb).T @ g)[:, None] + 1e-3 * p[2]]
             step += 1
             for k, grad in enumerate(grads):
                 m[k] = 0.9 * m[k] + 0.1 * grad
                 s[k] = 0.999 * s[k] + 0.001 * grad * grad
                 p[k] -= 0.02 * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
-    return Machine(buckets, float(p[0][0]), p[1], p[2])
+    return Machine(buckets, float(p[0][0]), p[1].astype(np.float64), p[2].astype(np.float64))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, per_class: int) -> DataFrame:
@@ -141,10 +140,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
             yield pa.RecordBatch.from_arrays([batch["label"], batch["doc_id"], pa.array([list(c) for c in got], pa.list_(pa.int32())), pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))], ["label", "doc_id", "k", "n"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = labelled_sample(docs, labels, label, folds, per_class).mapInArrow(scan, f"label int, doc_id {kind}, k array<int>, n array<int>")
-    got = sorted(((r["doc_id"], r["label"], r["k"], r["n"]) for r in sample.toLocalIterator()), key=lambda r: r[0])
-    got = got[: 4 * per_class]  # rows that repeat an id could be more
-    return fit([dict(zip(k, n, strict=True)) for _, _, k, n in got], np.array([t for _, t, _, _ in got], np.int64))
+    sample = labelled_sample(docs, labels, label, folds, per_class).mapInArrow(scan, f"label int, doc_id {kind}, k array<int>, n array<int>").toArrow()
+    order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")[: 4 * per_class]  # rows that repeat an id could be more
+    sample = sample.take(order).combine_chunks()
+    lists = lambda c: [x.values.to_numpy(zero_copy_only=False) for x in sample[c]]
+    return fit(lists("k"), lists("n"), sample["label"].to_numpy())
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, per_class: int = PER_CLASS) -> DataFrame:

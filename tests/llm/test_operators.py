@@ -226,6 +226,15 @@ def test_shards_are_those_of_sql_and_balanced(spark):
     assert 50 < moved < 160
 
 
+def test_a_changed_weight_moves_rows_only_into_its_subtree(spark):
+    df = spark.range(3000).selectExpr("id as doc_id", "'t' as text")
+    old = {r["doc_id"]: r["shard"] for r in sharding.shard(df).collect()}
+    new = {r["doc_id"]: r["shard"] for r in sharding.shard(df, weights={3: 3.0}).collect()}
+    moved = {d for d in old if old[d] != new[d]}
+    assert moved and all(new[d] < 10 for d in moved)  # the region of shard 3
+    assert all(new[d] == 3 for d in moved if old[d] < 5)  # within its rack only into the shard itself
+
+
 # ---- 7 and 8: classifiers ---------------------------------------------------------
 
 
@@ -234,7 +243,7 @@ def test_machine_learns_a_pair_that_weights_cannot():
     x = r.integers(0, 2, (2000, 2))
     y = x[:, 0] ^ x[:, 1]
     rows = [{10 + j: 1 for j in range(2) if v[j]} | {99: 1} for v in x]
-    m = toxicity.fit(rows, y)
+    m = toxicity.fit([np.array(list(r)) for r in rows], [np.array(list(r.values())) for r in rows], y)
     xs = np.zeros((len(rows), len(m.w)))
     for i, row in enumerate(rows):
         for k in row:
