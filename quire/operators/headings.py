@@ -138,3 +138,21 @@ def section_ends(headings: DataFrame, layout: DataFrame, widths: DataFrame) -> D
     foot = F.struct(G.page_bottom(F.col("__w")).alias("bbox"), F.col("page").cast("int").alias("page"))
     end = F.coalesce("__next", "__after", foot)
     return df.withColumns({"section_end_bbox": end["bbox"], "section_end_page": end["page"]}).drop("__next", "__after", "__w")
+
+
+def first_heading_check(headings: DataFrame) -> DataFrame:
+    """doc_id, chapter, heading_matches: does one of the first three words of a
+    chapter's first heading name the chapter or its section?
+
+    ``headings``: doc_id, chapter, section, pos, content.
+    """
+    words = lambda c: F.filter(F.split(T.normalize(c), " "), lambda w: w != "")
+    first = headings.groupBy("doc_id", "chapter").agg(F.min_by(F.struct("content", "section"), "pos").alias("x"))
+    known = F.array_union(words(F.col("chapter")), words(F.coalesce(F.col("x.section"), F.lit(""))))
+    return first.select("doc_id", "chapter", F.arrays_overlap(F.slice(words(F.col("x.content")), 1, 3), known).alias("heading_matches"))
+
+
+def chapters_without_headings(blocks: DataFrame) -> DataFrame:
+    """doc_id, chapter, error for chapters that hold no heading: an error row each,
+    where others go on."""
+    return blocks.groupBy("doc_id", "chapter").agg(F.max(F.col("type") == "heading").alias("has")).where("not has").select("doc_id", "chapter", F.lit("no headings").alias("error"))

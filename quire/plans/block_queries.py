@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import assets, blocks, cleanup, headings, sections
+from ..operators import assets, blocks, cleanup, headings, layout, sections
 from . import bridge as V
 
 QUERIES: dict = {}
@@ -234,3 +234,24 @@ def asset_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     met = assets.join_assets(rows, files)
     numbers = assets.numbered(rows).select("doc_id", "pos", "number")
     return met.join(numbers, ["doc_id", "pos"]).select("doc_id", "pos", "type", "number", "matched", "content")
+
+
+@register(f"""WITH {V.SQL_BLOCKS}, k AS (SELECT doc_id, page, pos, CASE WHEN type IN ('figure', 'table') THEN type ELSE 'text' END AS kind, content FROM blocks)
+    SELECT doc_id, page, pos, kind, CAST(row_number() OVER (PARTITION BY doc_id, page, kind ORDER BY pos) AS INTEGER) AS counter, CASE WHEN lag(kind) OVER w = 'text' THEN lag(content) OVER w END AS prev_text FROM k WINDOW w AS (PARTITION BY doc_id, page ORDER BY pos)""")
+def layout_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("type").isin("figure", "table"), F.col("type")).otherwise("text")
+    items = V.blocks(spark, sf_dir).select("doc_id", "page", F.col("pos").alias("ord"), kind.alias("kind"), F.col("content").alias("text"))
+    return layout.with_counters(items).select("doc_id", "page", F.col("ord").alias("pos"), "kind", "counter", "prev_text")
+
+
+@register(f"""WITH {V.SQL_BLOCKS}, h AS (SELECT doc_id, 'chapter ' || page AS chapter, arg_min(content, pos) AS c FROM blocks WHERE type = 'heading' GROUP BY ALL)
+    SELECT doc_id, chapter, coalesce(list_has_any(list_filter(string_split({V.normalize("c")}, ' '), lambda w: w <> '')[1:3], list_concat(string_split(chapter, ' '), ['results'])), false) AS heading_matches FROM h""")
+def heading_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = V.blocks(spark, sf_dir).where("type = 'heading'").select("doc_id", F.concat(F.lit("chapter "), F.col("page").cast("string")).alias("chapter"), F.lit("Results").alias("section"), "pos", "content")
+    return headings.first_heading_check(rows)
+
+
+@register(f"""WITH {V.SQL_BLOCKS} SELECT doc_id, 'p' || page AS chapter, 'no headings' AS error FROM blocks GROUP BY ALL HAVING NOT bool_or(type = 'heading')""")
+def chapters_without_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = V.blocks(spark, sf_dir).select("doc_id", F.concat(F.lit("p"), F.col("page").cast("string")).alias("chapter"), "type")
+    return headings.chapters_without_headings(rows)

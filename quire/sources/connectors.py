@@ -111,3 +111,53 @@ def parse_same_level(response: Column) -> Column:
     """Headings of an answer; null if it is no such JSON."""
     return F.from_json(response, "same_level_headings array<string>")["same_level_headings"]
 
+
+
+def convert_layout(pages: DataFrame, converter: Callable[[bytes], list[tuple[str, str | None]]]) -> DataFrame:
+    """doc_id, page, ord, kind, text, error: a layout model's items of page images in
+    reading order; a page that fails is one row with its error."""
+    kind = pages.schema["doc_id"].dataType.simpleString()
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for doc, page, png in zip(pdf["doc_id"], pdf["page"], pdf["png"], strict=True):
+                try:
+                    rows += [(doc, page, i, k, t, None) for i, (k, t) in enumerate(converter(bytes(png)))]
+                except Exception as e:  # one bad page is one row
+                    rows.append((doc, page, None, None, None, repr(e)[:500]))
+            yield pd.DataFrame(rows, columns=["doc_id", "page", "ord", "kind", "text", "error"]).astype({"ord": "Int64"})
+
+    return pages.select("doc_id", F.col("page").cast("long").alias("page"), "png").mapInPandas(scan, f"doc_id {kind}, page long, ord long, kind string, text string, error string")
+
+
+def same_level_headings(chapters: DataFrame, model: Callable[[str, list[bytes]], str], tries: int = 3) -> DataFrame:
+    """doc_id, chapter, response, headings, status: a model's list of the headings at
+    the level of ``anchor``, asked again while it is no JSON.  ``chapters``: doc_id,
+    chapter, anchor, pngs."""
+    kind = chapters.schema["doc_id"].dataType.simpleString()
+
+    def valid(said: str | None) -> bool:
+        try:
+            return isinstance(json.loads(said or "")["same_level_headings"], list)
+        except (ValueError, KeyError, TypeError):
+            return False
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for doc, chapter, anchor, pngs in zip(pdf["doc_id"], pdf["chapter"], pdf["anchor"], pdf["pngs"], strict=True):
+                said = None
+                for _ in range(tries):
+                    try:
+                        said = model(same_level_prompt(anchor), [bytes(p) for p in pngs])
+                    except Exception as e:  # the model's fault, or the network's
+                        said = repr(e)[:500]
+                    if valid(said):
+                        break
+                rows.append((doc, chapter, said))
+            yield pd.DataFrame(rows, columns=["doc_id", "chapter", "response"])
+
+    got = chapters.select("doc_id", "chapter", "anchor", "pngs").mapInPandas(scan, f"doc_id {kind}, chapter string, response string")
+    got = got.withColumn("headings", parse_same_level(F.col("response")))
+    return got.withColumn("status", F.when(F.col("headings").isNull(), "failed").otherwise("done"))

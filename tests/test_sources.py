@@ -104,6 +104,32 @@ def test_renderer_failures_are_rows(spark, tmp_path):
     assert spark.range(1).select(connectors.parse_same_level(F.lit('{"same_level_headings": ["a"]}')), connectors.parse_same_level(F.lit("oops"))).first()[:] == (["a"], None)
 
 
+def test_layout_and_heading_models(spark):
+    def convert(png):
+        if png == b"bad":
+            raise RuntimeError("model failed")
+        return [("text", "Figure 1"), ("figure", None)]
+
+    p = spark.createDataFrame([(1, 1, bytearray(b"ok")), (1, 2, bytearray(b"bad"))], "doc_id bigint, page int, png binary")
+    got = connectors.convert_layout(p, convert).orderBy("page", "ord").collect()
+    assert [(r["page"], r["kind"], bool(r["error"])) for r in got] == [(1, "text", False), (1, "figure", False), (2, None, True)]
+
+    def model(prompt, pngs):
+        return '{"same_level_headings": ["B", "C"]}' if "anchor A" in prompt else "no idea"
+
+    ch = spark.createDataFrame([(1, "one", "anchor A", [bytearray(b"x")]), (1, "two", "other", [bytearray(b"x")])], "doc_id bigint, chapter string, anchor string, pngs array<binary>")
+    got = {r["chapter"]: (r["headings"], r["status"]) for r in connectors.same_level_headings(ch, model).collect()}
+    assert got == {"one": (["B", "C"], "done"), "two": (None, "failed")}
+
+
+def test_token_counts(spark):
+    from quire.functions import tokens
+
+    df = spark.createDataFrame([("One, two three.",), (None,)], "t string")
+    counters = {"pieces": tokens.count_pieces, "letters": lambda t: len(t)}
+    assert [r[0] for r in df.select(tokens.token_counts(F.col("t"), counters)).collect()] == [{"pieces": 5, "letters": 15}, {"pieces": 0, "letters": 0}]
+
+
 def test_streams(spark, tmp_path):
     source, store = str(tmp_path / "in"), str(tmp_path / "store")
     schema = "doc_id bigint, page int, text string"
