@@ -56,41 +56,37 @@ def tree(shards: int, weights: dict[int, float] | None = None, base: int = BASE)
     return root
 
 
-def _draw(key: Column, node: Node) -> Column:
-    digits = F.substring(F.md5(F.concat(key, F.lit(f"/{node.name}"))), 1, 12)
-    u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
-    return -F.log(u) / F.lit(node.weight)
+def _literal(nodes: list[Node], depth: int) -> Column:
+    """Children as array<struct<name, weight, below>>; below a leaf is its shard."""
+    below = lambda n: _literal(n.children, depth - 1) if depth else F.lit(n.shard)
+    return F.array(*[F.struct(F.lit(n.name).alias("name"), F.lit(n.weight).alias("weight"), below(n).alias("below")) for n in nodes])
 
 
-def _least(key: Column, nodes: list[Node]) -> Column:
-    """Number of the child with the least draw."""
-    if len(nodes) == 1:
-        return F.lit(0)
-    return F.array_min(F.array(*[F.struct(_draw(key, n).alias("d"), F.lit(i).alias("i")) for i, n in enumerate(nodes)]))["i"]
+def _least(key: Column, children: Column) -> Column:
+    """What lies below the child with the least draw."""
 
+    def draw(c: Column, i: Column) -> Column:
+        digits = F.substring(F.md5(F.concat(key, F.lit("/"), c["name"])), 1, 12)
+        u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
+        return F.struct((-F.log(u) / c["weight"]).alias("d"), i.alias("i"))
 
-def descend(df: DataFrame, key: str, root: Node, out: str) -> DataFrame:
-    """Add column ``out`` with the shard of every row, one level at a time."""
-    k = F.col(key)
+    chosen = lambda nodes: nodes[F.array_min(F.transform(nodes, draw))["i"]]["below"]
+    return F.transform(F.array(children), chosen)[0]  # the level is named twice, worked out once
 
-    def pick(column: Column, values: list[Column]) -> Column:
-        chosen = F.lit(None).cast("int")
-        for i, v in reversed(list(enumerate(values))):
-            chosen = F.when(column == i, v).otherwise(chosen)
-        return chosen
 
-    df = df.withColumn("__g", _least(k, root.children))
-    df = df.withColumn("__r", pick(F.col("__g"), [_least(k, g.children) for g in root.children]))
-    leaves = [pick(F.col("__r"), [pick(_least(k, r.children), [F.lit(x.shard) for x in r.children]) if len(r.children) > 1 else F.lit(r.children[0].shard) for r in g.children]) for g in root.children]
-    return df.withColumn(out, pick(F.col("__g"), leaves).cast("int")).drop("__g", "__r")
+def descend(key: str, root: Node) -> Column:
+    """The shard of a key: region, rack, then leaf."""
+    k = F.col(key)
+    return _least(k, _least(k, _least(k, _literal(root.children, 2)))).cast("int")
 
 
 def shard(docs: DataFrame, shards: int = BASE, weights: dict[int, float] | None = None, parts: int = PARTS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", (F.length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__key"))
-    rows = descend(rows, "__key", tree(shards, weights), "shard")
-    rows = descend(rows, "__key", tree(shards + 1, weights), "grown_shard")
+    # A generator's columns are worked out once, whatever is joined or grouped by them.
+    placed = F.struct(descend("__key", tree(shards, weights)).alias("shard"), descend("__key", tree(shards + 1, weights)).alias("grown_shard"))
+    rows = rows.select("*", F.inline(F.array(placed)))
     rows = rows.withColumn("__part", F.pmod(F.xxhash64("__key"), F.lit(parts)).cast("int"))
     counts = rows.groupBy("shard", "__part").agg(F.count("*").alias("__n"))
     first = counts.select("shard", "__part", (F.sum("__n").over(Window.partitionBy("shard").orderBy("__part")) - F.col("__n")).alias("__first"))
