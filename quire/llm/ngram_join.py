@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 
 from ._counts import bits_for, key_blobs, log_filter, segments_for, total_chars
 from ._graph import components
-from ._store import KeyBits, materialize, packed, unpacked
+from ._store import KeyBits, materialize, packed, unpacked, with_maybe
 from ._words import WordHash, mix, rows_in, rows_out, shingle_set, words_of
 
 BLOCK = 2048
@@ -147,7 +147,7 @@ def document_sets(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFram
             for i, row in enumerate(rows_in(batch)):
                 rows.append((row["doc_id"], sets_of(row)))
                 size += len(rows[-1][1])
-                if size > 1 << 18 or i == batch.num_rows - 1:
+                if size > 1 << 17 or i == batch.num_rows - 1:
                     yield described(rows, known)
                     rows, size = [], 0
 
@@ -161,19 +161,22 @@ def document_sets(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFram
                 cols[k].append(v)
         return rows_out(schema, cols)
 
-    return materialize(base.mapInArrow(scan, "doc_id long, n long, s1 long, s2 long, prefix array<long>"), "sets"), base
+    rows = materialize(base.mapInArrow(scan, "doc_id long, n long, s1 long, s2 long, prefix array<long>"), "sets")
+    shared.destroy()
+    return rows, base
 
 
 def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between classes, a class being named by its least id."""
     spark = rows.sparkSession
     classes = rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
-    classes = materialize(classes, "classes")
+    n_rows, listed_rows = rows.agg(F.count("*"), F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()
+    classes = materialize(classes, "classes", n_rows)
     listed = classes.select("rep", "n", F.explode("prefix").alias("token"))
     hubs = listed.groupBy("token").agg(F.min("rep").alias("hub"), F.max("rep").alias("other")).where("hub <> other").select("token", "hub")
     met = listed.join(hubs, "token").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    cells = components(met, "cells").withColumnRenamed("root", "cell")
-    members = materialize(cells.join(classes.select(F.col("rep").alias("node"), "n", "s1", "s2"), "node"), "members")
+    cells = components(met, "cells", listed_rows).withColumnRenamed("root", "cell")
+    members = materialize(cells.join(classes.select(F.col("rep").alias("node"), "n", "s1", "s2"), "node"), "members", n_rows)
 
     # Blocks: a cell's sets in the order of their sizes, `block` to each.
     place = Window.partitionBy("cell").orderBy("n", "node")
@@ -220,7 +223,7 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
 def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id for every row of ``docs``."""
     rows, base = document_sets(docs, n, num, den)
-    roots = components(class_links(rows, base, n, num, den, block))
+    roots = components(class_links(rows, base, n, num, den, block))  # searched in tasks of their own
     reps = rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("class_id"))
     reps = reps.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
     many = rows.select("doc_id", "n", "s1", "s2")
@@ -233,10 +236,13 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     """``docs`` without near copies: of each component the document with the least
     id stays (of rows that repeat its id, the one with the least text), and every
     row with a null id or a blank text."""
-    found = materialize(ngram_join(docs, n, num, den).select("doc_id", "n_shingles", "component_id"), "joined")
+    found = materialize(ngram_join(docs, n, num, den).select("doc_id", "n_shingles", "component_id"), "joined", docs.count())
     loses = found.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
     twice = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = packed(docs, "doc_id", "text").join(loses, "doc_id", "left_anti")
+    # A filter of fixed size lets what surely stays pass without a shuffle of its text.
+    held = with_maybe(packed(docs, "doc_id", "text").withColumn("idkey", F.xxhash64("doc_id")), "idkey", loses.withColumn("lostkey", F.xxhash64("doc_id")), "lostkey")
+    settled = held.where("maybe").join(loses, "doc_id", "left_anti").select("doc", "doc_id", "text")
+    kept = held.where(~F.col("maybe")).select("doc", "doc_id", "text").unionByName(settled)
     if twice.isEmpty():
         return unpacked(kept)
     place = Window.partitionBy("doc_id").orderBy("text")
