@@ -22,7 +22,7 @@ from ._store import partitions
 from ._words import mix, rows_in
 
 MAX_BITS = 1 << 30
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
 _BLOB = pa.schema([("seg", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())])
 
 

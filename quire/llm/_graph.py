@@ -26,21 +26,22 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame, name: str = "links") -> DataFrame:
+def components(edges: DataFrame, name: str = "links", rows: int | None = None) -> DataFrame:
     """(node, root): root is the least node that links lead to.
 
     ``edges`` has long columns a and b.  Only nodes with a link are returned.
     Every round is written to the shared folder; rounds grow with the logarithm
-    of the longest chain.
+    of the longest chain.  ``rows``: a bound of the number of edges, if known.
     """
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, rows)
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0))).first())
 
     at = state(now)
     while at[0]:
-        now = materialize(_stars(materialize(_stars(now, True), f"{name}-large"), False), f"{name}-small")
+        large = materialize(_stars(now, True), f"{name}-large", 2 * at[0])
+        now = materialize(_stars(large, False), f"{name}-small", 2 * at[0])
         after = state(now)
         if after == at:
             break

@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS_PER_FILE = 200_000
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
@@ -28,9 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: its lineage
-    ends there, so a lost executor costs no recomputation of what lies before."""
+    ends there, so a lost executor costs no recomputation of what lies before.
+
+    ``rows`` bounds the rows of a narrow table behind a shuffle: it is written to a file
+    for each ``ROWS_PER_FILE`` of them, not to one for every partition.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire/{uuid.uuid4().hex}-{name}"
     schema = df.schema
@@ -59,7 +66,7 @@ def text_key() -> "F.Column":
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts are long: lower the session's rows in an Arrow batch to ``rows`` where it
     is higher, for the memory of executors and Python workers."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -67,6 +74,12 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores, dealt out to all of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def packed(docs: DataFrame, *names: str) -> DataFrame:
     """``docs`` as one struct ``doc``, with the named columns beside it: columns that
     an operator adds cannot clash with those that rows bring along."""

@@ -21,7 +21,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WordHash(dict):
     """Word to 64-bit hash, remembered for up to ``limit`` words at a time."""
 
-    def __init__(self, seed: int = 0, limit: int = 1 << 18):
+    def __init__(self, seed: int = 0, limit: int = 1 << 17):
         super().__init__()
         self.seed, self.limit = seed, limit
 

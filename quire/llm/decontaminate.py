@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._store import materialize, packed, text_key, unpacked, with_maybe
-from ._words import mix, rows_out, run_hashes
+from ._words import mix, run_hashes
 
 WINDOW = 13
 SHINGLE = 3
@@ -210,7 +210,7 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated rows.  A filter of fixed size lets clean rows
     pass without a shuffle; what it holds back is settled by an exact join."""
-    bad = materialize(decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("id2"), F.col("row").alias("row2")).distinct().withColumn("key", F.xxhash64("id2", "row2")), "contaminated")
+    bad = materialize(decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("id2"), F.col("row").alias("row2")).distinct().withColumn("key", F.xxhash64("id2", "row2")), "contaminated", docs.count())
     keyed = packed(docs, "doc_id", "text").withColumn("row", text_key()).withColumn("rowkey", F.xxhash64("doc_id", "row"))
     keyed = with_maybe(keyed, "rowkey", bad, "key")
     held = keyed.where("maybe").join(bad.select("id2", "row2"), F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("row") == F.col("row2")), "left_anti")

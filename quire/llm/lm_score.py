@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ._counts import MAX_BITS, bits_for, key_blobs, log_filter, segments_for, total_chars
 from ._store import materialize
-from ._words import WordHash, mix, rows_out, words_of
+from ._words import WordHash, mix, words_of
 
 COMMON = 1 << 19
 MU, DISCOUNT, FOLDS = 8.0, 0.4, 10
@@ -85,7 +85,7 @@ def _exact_counts(base: DataFrame) -> DataFrame:
             for raw in batch["raw"].to_pylist():
                 sums.update(words_of(raw))
                 sums[_END] += 1
-                if len(sums) > 1 << 18:
+                if len(sums) > 1 << 17:
                     yield rows()
         yield rows()
 
@@ -123,7 +123,7 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
 
         return keys
 
-    blobs = key_blobs(base.where(~F.col("held_out")).select("raw"), keys_of, segments, 1 << 21)
+    blobs = key_blobs(base.where(~F.col("held_out")).select("raw"), keys_of, segments, 1 << 20)
     grams, _ = log_filter(blobs, segments, bits_for(3 * (total_chars(docs) // 6), MAX_BITS), hashes_per_level)
     shared = spark.sparkContext.broadcast((known, often, grams))
     below = 0.1 * (v + 1) + n
@@ -162,13 +162,14 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
             for i in range(batch.num_rows):
                 rows.append(_tokens(hashes, batch["raw"][i].as_py()))
                 size += len(rows[-1])
-                if size > 1 << 18 or i == batch.num_rows - 1:
+                if size > 1 << 17 or i == batch.num_rows - 1:
                     part = batch.slice(first, len(rows))
                     yield pa.RecordBatch.from_arrays([part["doc_id"], part["row"], part["held_out"], *scored(rows, end)], names)
                     rows, first, size = [], i + 1, 0
 
     numbered = base.withColumn("row", F.monotonically_increasing_id())
     seen = materialize(numbered.mapInArrow(scan, f"doc_id {kind}, row long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
+    shared.destroy()
     rare = seen.where(F.size("rare") > 0).select("row", F.explode("rare").alias("token"))
     c = F.coalesce(F.col("n"), F.lit(0))
     met = rare.join(counts.where(bucket < (cut if cut is not None else 1 << 30)), "token", "left").select("row", (c > 0).cast("long").alias("k"), F.log10((c + 0.1) / below).alias("b"))

@@ -22,7 +22,7 @@ Null sources are one source of their own.  An empty table gives an empty result.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame

@@ -102,7 +102,7 @@ class Shard:
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
-    """(doc, row, ranges): word ranges, as flat pairs, that earlier documents hold."""
+    """(doc, row, ranges, key): word ranges, as flat pairs, that earlier documents hold."""
     spark = docs.sparkSession
     base = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc"), text_key().alias("row"), F.col("text").cast("binary").alias("raw"))
 
@@ -188,7 +188,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     sent = base.mapInArrow(cut, "shard int, kind int, first long, text binary, docs array<long>, rows array<long>, starts array<long>")
     met = sent.repartition(partitions(spark), "shard").sortWithinPartitions("shard", "kind", "first")
     found = met.mapInArrow(stream, "doc long, row long, ranges array<long>")
-    return found.groupBy("doc", "row").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    out = materialize(found.groupBy("doc", "row").agg(F.flatten(F.collect_list("ranges")).alias("ranges")).withColumn("key", F.xxhash64("doc", "row")), "repeats", docs.count())
+    shared.destroy()
+    return out
 
 
 def joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -216,7 +218,7 @@ def keep_words(raw: bytes | None, ranges) -> tuple[int, int, bytes]:
 def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text) for every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ranges = materialize(repeated_ranges(docs, window, phrase).withColumn("key", F.xxhash64("doc", "row")), "repeats")
+    ranges = repeated_ranges(docs, window, phrase)
     keyed = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), text_key().alias("row")).withColumn("rowkey", F.xxhash64(F.col("doc_id").cast("long"), "row"))
     keyed = with_maybe(keyed, "rowkey", ranges, "key")
     met = keyed.where("maybe").join(ranges.select(F.col("doc"), F.col("row").alias("row2"), "ranges"), (F.col("doc_id") == F.col("doc")) & (F.col("row") == F.col("row2")), "left").select("doc_id", "raw", "ranges")

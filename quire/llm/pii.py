@@ -137,7 +137,6 @@ def _mark(spans: list[Span]) -> str:
 def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, alpha: float = ALPHA) -> tuple[DataFrame, DataFrame]:
     """(mentions, flagged): every row's entities, and for each entity the terms
     that exceed the threshold with what becomes of them (1 generalise, 2 remove)."""
-    spark = docs.sparkSession
     base = docs.select("doc_id", text_key().alias("row"), F.col("text"))
     schema = pa.schema([("e", pa.int64()), ("term", pa.string()), ("context", pa.int64()), ("doc", pa.int64())])
 
@@ -161,7 +160,8 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
     entities = seen.where("term is null").groupBy("e", "doc").count().groupBy("e").agg(F.count("*").alias("n_e"))
     contexts = seen.where("term is not null").groupBy("e", "term", "context").count().groupBy("e", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= support)
     together = seen.join(contexts, ["e", "term"]).groupBy("e", "term", "contexts", "doc").count().groupBy("e", "term").agg(F.count("*").alias("n_et"))
-    together = materialize(together.join(entities, "e"), "together")
+    n_seen = seen.count()
+    together = materialize(together.join(entities, "e"), "together", n_seen)
 
     # n(t), counted over all documents for the terms in question.
     wanted = together.select(F.xxhash64("term").alias("k"))
@@ -182,7 +182,7 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
                     sums.update(terms)
                     if kinds:
                         sums.update({f"\x00{shape(t)}" for t in terms if len(t) > 2})
-            if len(sums) > 1 << 18:
+            if len(sums) > 1 << 17:
                 yield rows()
         yield rows()
 
@@ -190,17 +190,17 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
     counted = with_maybe(every, "k", wanted, "k", TERM_BITS).where("maybe").groupBy("term").agg(F.sum("n").alias("n_t"))
     n = docs.count()
     scored = together.join(counted, "term").withColumn("pmi", F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))))
-    over = materialize(scored.where(F.col("pmi") >= F.log2(F.lit(float(n)) / F.col("n_e")) / alpha).where(F.lit(float(n)) > F.col("n_e")).select("e", "term"), "over")
+    over = materialize(scored.where(F.col("pmi") >= F.log2(F.lit(float(n)) / F.col("n_e")) / alpha).where(F.lit(float(n)) > F.col("n_e")).select("e", "term"), "over", n_seen)
     shapes = over.where(F.col("term").startswith("\x00")).groupBy("e").agg(F.collect_set("term").alias("shapes"))
     flagged = over.where(~F.col("term").startswith("\x00")).groupBy("e").agg(F.collect_set("term").alias("terms")).join(shapes, "e", "left")
-    return seen.where("term is null").select("e", "doc").distinct(), materialize(flagged, "flagged")
+    return seen.where("term is null").select("e", "doc").distinct(), materialize(flagged, "flagged", n_seen)
 
 
 def row_terms(docs: DataFrame, **knobs) -> DataFrame:
     """key (of doc_id and text), terms, shapes: what to hide beside base spans."""
     mentions, flagged = disclosing_terms(docs, **knobs)
     got = mentions.join(flagged, "e").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("shapes", F.array().cast("array<string>"))))).alias("shapes"))
-    return materialize(got.withColumnRenamed("doc", "key2"), "terms")
+    return materialize(got.withColumnRenamed("doc", "key2"), "terms", docs.count())
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -222,7 +222,6 @@ def all_spans(text: str | None, terms: list[str] | None) -> tuple[list[Span], li
 
 def find_personal(docs: DataFrame, **knobs) -> DataFrame:
     """doc_id, counts by kind, base_sha256, spans and n_term for every row."""
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = pa.schema([*((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_term", pa.int64())])
 

@@ -134,7 +134,7 @@ def scored(docs: DataFrame, labels: DataFrame, trust: float = TRUST, swing: floa
     # A row number would cost a shuffle; the evidence is worked out anew where it is
     # needed, which is a map over the text and moves nothing.
     judged = packed(docs, "doc_id", "text", host.alias("host"), path.alias("path")).withColumn("evidence", evidence(F.col("text")))
-    paths = materialize(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("evidence").alias("s")), "sites")
+    paths = materialize(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("evidence").alias("s")), "sites", docs.count())
     every = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     n, s = every["n"] or 0, every["s"] or 0.0
     mean = min(0.999, max(0.001, s / n)) if n else 0.5
@@ -145,7 +145,7 @@ def scored(docs: DataFrame, labels: DataFrame, trust: float = TRUST, swing: floa
     both = paths.join(hosts, "host")
     within = both.agg(F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col("host_mean")) ** 2) / F.sum("n")).first()[0] or 0.0
     prior = _strength(F.lit(within), F.col("host_mean"))
-    sites = materialize(both.select(F.col("host").alias("host2"), F.col("path").alias("path2"), "host_mean", ((F.col("s") + prior * F.col("host_mean")) / (F.col("n") + prior)).alias("path_mean")), "posteriors")
+    sites = materialize(both.select(F.col("host").alias("host2"), F.col("path").alias("path2"), "host_mean", ((F.col("s") + prior * F.col("host_mean")) / (F.col("n") + prior)).alias("path_mean")), "posteriors", paths.count())
     small = sites.limit(SITES + 1).count() <= SITES
     met = judged.join(F.broadcast(sites) if small else sites, (F.col("host") == F.col("host2")) & (F.col("path") == F.col("path2")), "left")
     limit = lambda c: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), c))

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate, fingerprint, lm_score, ngram_join, packing, phrases, pii, quality, sharding, toxicity
-from ._store import small_batches
+from ._store import dealt, small_batches
+
+
+def native_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(native_table(spark, sf_dir, name))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +40,7 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    return sharding.shard(native_table(spark, sf_dir, "documents"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +52,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprint.fingerprints(native_table(spark, sf_dir, "documents"))
 
 
 def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
