@@ -10,11 +10,12 @@ class for each distinct set) and the class of every document.
 2. Of each set only the rarest ``size - ceil(num/den * size) + 1`` shingles can
    be the first that two linked sets share, and of these only such as other rows
    hold can match.  Lists of equal ones join sets into cells: no link leaves a cell.
-3. A cell is searched in one task, or in blocks of ``block`` sets of which every
-   pair that sizes allow meets in one task.  There each set is a T-occurrence
-   query over inverted lists (DivideSkip): short lists are merged by a heap, the
-   longest are probed by binary search for what is left.  Sets already linked are
-   not compared again, so a cell yields fewer links than sets.
+3. A cell is searched in one task, or in blocks of ``block`` sets: each block within
+   itself and against the cell's first block, then what is not in the cell's largest
+   component by then against all blocks that sizes allow.  In a task each set is a
+   T-occurrence query over inverted lists (DivideSkip): short lists are merged by a
+   heap, the longest are probed by binary search for what is left.  Sets already
+   linked are not compared again, so a task yields fewer links than it has sets.
 4. Links are closed to components (:mod:`._graph`).
 
 Results for odd rows: null and blank texts have no shingles (size 0) and link
@@ -44,7 +45,7 @@ from ._graph import components
 from ._store import KeyBits, materialize, packed, unpacked, with_maybe
 from ._words import WordHash, mix, rows_in, rows_out, shingle_set, words_of
 
-BLOCK = 2048
+BLOCK = 1024
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -178,16 +179,6 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
     cells = components(met, "cells", listed_rows).withColumnRenamed("root", "cell")
     members = materialize(cells.join(classes.select(F.col("rep").alias("node"), "n", "s1", "s2"), "node"), "members", n_rows)
 
-    # Blocks: a cell's sets in the order of their sizes, `block` to each.
-    place = Window.partitionBy("cell").orderBy("n", "node")
-    placed = members.withColumn("blk", F.floor((F.row_number().over(place) - 1) / block).cast("int"))
-    ranges = placed.groupBy("cell", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    other = ranges.select("cell", F.col("blk").alias("blk2"), F.col("lo").alias("lo2"))
-    pairs = ranges.join(other, "cell").where((F.col("blk") <= F.col("blk2")) & (F.col("lo2") * num <= F.col("hi") * den))
-    tasks = pairs.select("cell", "blk", "blk2", F.explode(F.when(F.col("blk") == F.col("blk2"), F.array(F.lit(0))).otherwise(F.array(F.lit(1), F.lit(2)))).alias("role"))
-    tasks = tasks.withColumn("mine", F.when(F.col("role") == 2, F.col("blk2")).otherwise(F.col("blk")))
-    dealt = placed.withColumnRenamed("blk", "mine").join(tasks, ["cell", "mine"]).select("node", "s1", "s2", "n", "cell", "blk", "blk2", "role")
-
     # The sets themselves, made anew for members only.
     mine = spark.sparkContext.broadcast(KeyBits.of(members, "node"))
 
@@ -200,15 +191,16 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
             for row in rows_in(kept):
                 s = sets_of(row)
                 if len(s) and row["doc_id"] is not None:
-                    cols["node"].append(row["doc_id"])
                     s1, s2 = signature(s)
+                    cols["node"].append(row["doc_id"])
                     cols["s1"].append(s1)
                     cols["s2"].append(s2)
                     cols["tokens"].append(s.tobytes())
             yield rows_out(schema, cols)
 
-    sets = base.mapInArrow(scan, "node long, s1 long, s2 long, tokens binary").join(members.select("node", "s1", "s2"), ["node", "s1", "s2"], "left_semi").dropDuplicates(["node"])
-    ready = sets.select("node", "tokens").join(dealt.drop("s1", "s2"), "node")
+    found = base.mapInArrow(scan, "node long, s1 long, s2 long, tokens binary").join(members.select("node", "s1", "s2"), ["node", "s1", "s2"], "left_semi")
+    sets = materialize(found.dropDuplicates(["node"]).select("node", "tokens"), "tokens")
+    mine.destroy()
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["role", "n", "node"])
@@ -217,7 +209,37 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
         found = list(links_within(sets, pdf["role"].tolist(), num, den))
         return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
 
-    return ready.groupBy("cell", "blk", "blk2").applyInPandas(search, "a long, b long")
+    def searched(dealt: DataFrame) -> DataFrame:
+        """Links of tasks: rows (node, n, cell, blk, blk2, role)."""
+        return sets.join(dealt, "node").groupBy("cell", "blk", "blk2").applyInPandas(search, "a long, b long")
+
+    # Blocks: a cell's sets in the order of their sizes, `block` to each.  First each
+    # block is searched within itself, and all of a cell against its first block.
+    place = Window.partitionBy("cell").orderBy("n", "node")
+    placed = materialize(members.select("node", "n", "cell").withColumn("blk", F.floor((F.row_number().over(place) - 1) / block).cast("int")), "blocks", n_rows)
+    own = placed.select("node", "n", "cell", "blk", F.col("blk").alias("blk2"), F.lit(0).alias("role"))
+    wide = placed.groupBy("cell").agg(F.max("blk").alias("last")).where("last > 0")
+    if wide.isEmpty():
+        return searched(own)
+    wide = materialize(wide, "wide", n_rows)
+    large = placed.join(wide, "cell")
+    heads = large.where("blk = 0").withColumn("blk2", F.explode(F.sequence(F.lit(1), F.col("last")))).withColumn("role", F.lit(1))
+    tails = large.where("blk > 0").withColumn("blk2", F.col("blk")).withColumns({"blk": F.lit(0), "role": F.lit(2)})
+    names = ["node", "n", "cell", "blk", "blk2", "role"]
+    links = materialize(searched(own.unionByName(heads.select(names)).unionByName(tails.select(names))), "first-links")
+
+    # Then what is not in a cell's largest component yet meets all of the cell's blocks.
+    # In a group of near copies that is next to nothing, so its size costs no squares.
+    roots = components(links, "first-roots")
+    known = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    most = known.groupBy("cell", "root").count().groupBy("cell").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    rest = known.join(most, "cell").where("root <> main").withColumn("blk2", F.floor((F.row_number().over(place) - 1) / block).cast("int"))
+    rest = materialize(rest.select("node", "n", "cell", "blk2"), "rest", n_rows)
+    span = lambda df, blk, lo, hi: df.groupBy("cell", blk).agg(F.min("n").alias(lo), F.max("n").alias(hi))
+    pairs = span(large, "blk", "lo", "hi").join(span(rest, "blk2", "lo2", "hi2"), "cell").where((F.col("lo2") * num <= F.col("hi") * den) & (F.col("lo") * num <= F.col("hi2") * den)).select("cell", "blk", "blk2")
+    index = large.select("node", "n", "cell", "blk").join(pairs, ["cell", "blk"]).withColumn("role", F.lit(1))
+    probe = rest.join(pairs, ["cell", "blk2"]).withColumn("role", F.lit(2))
+    return links.unionByName(searched(index.select(names).unionByName(probe.select(names))))
 
 
 def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, block: int = BLOCK) -> DataFrame:

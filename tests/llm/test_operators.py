@@ -59,7 +59,7 @@ def test_terms_that_disclose_an_entity(spark):
 # ---- 2: n-gram Jaccard join -------------------------------------------------------
 
 
-@pytest.mark.parametrize(("n", "num", "block"), [(4, 85, 2048), (5, 80, 2048), (2, 60, 3)])
+@pytest.mark.parametrize(("n", "num", "block"), [(4, 85, 2048), (5, 80, 2048), (2, 60, 3), (4, 85, 2), (1, 50, 5)])
 def test_join(docs, rows, n, num, block):
     want = brute.near_copies([(r[0], r[1]) for r in rows], n, num, 100)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs, n, num, 100, block).collect()}
