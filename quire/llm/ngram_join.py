@@ -45,7 +45,9 @@ from ._graph import components
 from ._store import KeyBits, materialize, packed, unpacked, with_maybe
 from ._words import WordHash, mix, rows_in, rows_out, shingle_set, words_of
 
-BLOCK = 1024
+#: Sets in a block, and rows of ids that are broadcast at most (some 10 MB) rather than
+#: joined by a shuffle of the sets.
+BLOCK, NARROW = 1024, 200_000
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -198,7 +200,10 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
                     cols["tokens"].append(s.tobytes())
             yield rows_out(schema, cols)
 
-    found = base.mapInArrow(scan, "node long, s1 long, s2 long, tokens binary").join(members.select("node", "s1", "s2"), ["node", "s1", "s2"], "left_semi")
+    def narrow(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.limit(NARROW + 1).count() <= NARROW else df
+
+    found = base.mapInArrow(scan, "node long, s1 long, s2 long, tokens binary").join(narrow(members.select("node", "s1", "s2")), ["node", "s1", "s2"], "left_semi")
     sets = materialize(found.dropDuplicates(["node"]).select("node", "tokens"), "tokens")
     mine.destroy()
 
@@ -211,7 +216,7 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
 
     def searched(dealt: DataFrame) -> DataFrame:
         """Links of tasks: rows (node, n, cell, blk, blk2, role)."""
-        return sets.join(dealt, "node").groupBy("cell", "blk", "blk2").applyInPandas(search, "a long, b long")
+        return sets.join(narrow(dealt), "node").groupBy("cell", "blk", "blk2").applyInPandas(search, "a long, b long")
 
     # Blocks: a cell's sets in the order of their sizes, `block` to each.  First each
     # block is searched within itself, and all of a cell against its first block.
