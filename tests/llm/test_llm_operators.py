@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import odd_rows
+from llm_rows import odd_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import brute
 import corpus_pipeline
 import pytest
-from conftest import SCHEMA
+from llm_rows import SCHEMA
 
 from quire.llm import pii
 
