@@ -4,8 +4,9 @@ Workers count the keys of their own rows, and send each distinct key once per
 batch as four bytes (the segment number holds its leading bits).  A segment's
 counts are added up in one task, quantised to levels ``1 + floor(log2 count)``,
 and every level up to a key's own is set as bits of that segment's slice.  A key
-that all rows hold arrives once per batch, so no segment is hot.  The filter has
-a fixed number of bits: what is collected and broadcast does not grow beyond it.
+that all rows hold arrives once per batch, so no segment is hot.  What is collected
+and broadcast at once has at most ``MAX_BITS`` bits: a whole filter where its caller
+bounds it, else a part of one, which covers a range of segments.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ _FLUSH = 1 << 19
 _BLOB = pa.schema([("seg", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())])
 
 
-def bits_for(keys: int, most: int = MAX_BITS) -> int:
-    """A power of two of bits near the number of keys, between 1 Mbit and ``most``."""
-    return min(most, 1 << max(20, (max(1, keys) - 1).bit_length()))
+def bits_for(keys: int, most: int | None = MAX_BITS) -> int:
+    """A power of two of bits near the number of keys, 1 Mbit at least and ``most`` at
+    most (None: no bound)."""
+    bits = 1 << max(20, (max(1, keys) - 1).bit_length())
+    return bits if most is None else min(most, bits)
 
 
 def segments_for(spark: SparkSession) -> int:
@@ -69,11 +72,15 @@ def unpack(keys: Iterable[bytes], more: Iterable[bytes]) -> tuple[np.ndarray, np
 
 
 class LogFilter:
-    """Log-frequency Bloom filter: quantised counts read back by repeated probes."""
+    """Log-frequency Bloom filter: quantised counts read back by repeated probes.
 
-    def __init__(self, data: np.ndarray, segments: int, hashes: int, top: int):
-        self.data, self.segments, self.hashes, self.top = data, segments, hashes, top
-        self.slice = len(data) * 8 // segments
+    ``data`` holds the slices of the segments ``start`` to ``stop`` (all, if not given);
+    only keys that lie in these may be probed.
+    """
+
+    def __init__(self, data: np.ndarray, segments: int, hashes: int, top: int, start: int = 0, stop: int | None = None):
+        self.data, self.segments, self.hashes, self.top, self.start = data, segments, hashes, top, start
+        self.slice = len(data) * 8 // ((segments if stop is None else stop) - start)
 
     def _slots(self, rest: np.ndarray, level: int) -> Iterator[np.ndarray]:
         h = mix(rest.astype(np.uint64) + np.uint64(level << 40))
@@ -92,7 +99,7 @@ class LogFilter:
             return out
         left = np.arange(len(keys))
         seg, rest = self.split(keys)
-        base = seg * np.uint64(self.slice)
+        base = (seg - np.uint64(self.start)) * np.uint64(self.slice)
         for level in range(first, self.top + 1):
             hit = np.ones(len(left), bool)
             for slot in self._slots(rest, level):
@@ -126,12 +133,11 @@ def key_blobs(docs: DataFrame, keys_of: Callable[[], Callable[[dict], np.ndarray
     return docs.mapInArrow(scan, "seg int, keys binary, more binary")
 
 
-def log_filter(blobs: DataFrame, segments: int, bits: int, hashes: int = 1, first: int = 1, top: int = 24) -> tuple[LogFilter, dict]:
-    """Build the filter from ``key_blobs``; levels below ``first`` set no bits.
-
-    Returns it with the numbers of distinct keys and of bits that were set.
-    """
-    empty = LogFilter(np.zeros(max(1, bits // 8), np.uint8), segments, hashes, top)
+def filter_slices(blobs: DataFrame, segments: int, bits: int, hashes: int = 1, first: int = 1, top: int = 24) -> DataFrame:
+    """(seg, bits, n, used): the filter's slices from ``key_blobs``, with the numbers of
+    distinct keys and of bits that were set; levels below ``first`` set no bits."""
+    empty = LogFilter(np.zeros(0, np.uint8), segments, hashes, top)
+    empty.slice = max(8, bits) // segments
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, counts = unpack(pdf["keys"], pdf["more"])
@@ -142,16 +148,30 @@ def log_filter(blobs: DataFrame, segments: int, bits: int, hashes: int = 1, firs
                 mine[slot] = 1
         return pd.DataFrame({"seg": [int(pdf["seg"].iloc[0])], "bits": [np.packbits(mine, bitorder="little").tobytes()], "n": [len(keys)], "used": [int(mine.sum())]})
 
-    light = LogFilter(np.zeros(0, np.uint8), segments, hashes, top)
-    light.slice, size = empty.slice, len(empty.data)
-    del empty
-    empty = light
-    got = blobs.groupBy("seg").applyInPandas(build, "seg int, bits binary, n long, used long").toArrow()
-    data = np.zeros(size, np.uint8)
-    per = size // segments
+    return blobs.groupBy("seg").applyInPandas(build, "seg int, bits binary, n long, used long")
+
+
+def gathered(slices: DataFrame, segments: int, bits: int, hashes: int = 1, top: int = 24, start: int = 0, stop: int | None = None) -> tuple[LogFilter, dict]:
+    """The filter's segments ``start`` to ``stop`` (all, if not given) on the driver, with
+    the numbers of distinct keys and of bits that were set."""
+    if stop is None:
+        stop = segments
+    else:
+        slices = slices.where((F.col("seg") >= start) & (F.col("seg") < stop))
+    got = slices.toArrow()
+    per = bits // 8 // segments
+    data = np.zeros(per * (stop - start), np.uint8)
     for seg, b in zip(got["seg"].to_pylist(), got["bits"], strict=True):
-        data[seg * per : (seg + 1) * per] = np.frombuffer(b.as_buffer(), np.uint8)
-    return LogFilter(data, segments, hashes, top), {"keys": sum(got["n"].to_pylist()), "used": sum(got["used"].to_pylist()), "bits": size * 8}
+        data[(seg - start) * per : (seg - start + 1) * per] = np.frombuffer(b.as_buffer(), np.uint8)
+    return LogFilter(data, segments, hashes, top, start, stop), {"keys": sum(got["n"].to_pylist()), "used": sum(got["used"].to_pylist()), "bits": len(data) * 8}
+
+
+def log_filter(blobs: DataFrame, segments: int, bits: int, hashes: int = 1, first: int = 1, top: int = 24) -> tuple[LogFilter, dict]:
+    """The whole filter from ``key_blobs``; levels below ``first`` set no bits.
+
+    Returns it with the numbers of distinct keys and of bits that were set.
+    """
+    return gathered(filter_slices(blobs, segments, bits, hashes, first, top), segments, bits, hashes, top)
 
 
 def total_chars(docs: DataFrame) -> int:

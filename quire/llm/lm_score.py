@@ -3,11 +3,12 @@
 Training documents are counted twice over: their tokens exactly (for the base
 score), and their tokens and pairs of neighbouring tokens into a log-frequency
 Bloom filter (:mod:`._counts`), which keeps of each n-gram only the quantised count
-``1 + floor(log2 c)`` as that many bits of membership.  The filter has a fixed
-number of bits and is broadcast; all n-grams are in it at any size, and a corpus too
-large for it costs precision (more false bits), not memory.  Scoring reads levels
-by repeated membership probes, takes the middle of a level's range as the count,
-and smooths towards the single token:
+``1 + floor(log2 c)`` as that many bits of membership.  The filter's bits follow
+the corpus without a bound, so its rate of false bits does not.  At most ``MAX_BITS``
+of them are broadcast at once: a larger filter is read in parts, each a range of
+segments and a scan of the texts, and the levels read meet again by row.  The parts
+change no result.  Scoring reads levels by repeated membership probes, takes the
+middle of a level's range as the count, and smooths towards the single token:
 
     p(w | v) = (max(0, c(v, w) - d) + mu * p(w)) / (c(v) + mu),
     p(w)     = (c(w) + 0.1) / (N + 0.1 * (V + 1)).
@@ -28,16 +29,16 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._counts import MAX_BITS, bits_for, key_blobs, log_filter, segments_for, total_chars
+from ._counts import MAX_BITS, bits_for, filter_slices, gathered, key_blobs, segments_for, total_chars
 from ._store import materialize
-from ._words import WordHash, mix, words_of
+from ._words import WordHash, mix, rows_in, words_of
 
 COMMON = 1 << 19
 MU, DISCOUNT, FOLDS = 8.0, 0.4, 10
@@ -111,7 +112,10 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
     order = np.argsort(table["token"].to_numpy())
     known, often = table["token"].to_numpy()[order], table["n"].to_numpy()[order]
 
-    segments = segments_for(spark)
+    bits = bits_for(3 * (total_chars(docs) // 6), None)
+    parts = max(1, bits // MAX_BITS)
+    segments = max(segments_for(spark), bits >> 24, parts)
+    per = segments // parts
 
     def keys_of():
         hashes = WordHash()
@@ -124,37 +128,40 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
         return keys
 
     blobs = key_blobs(base.where(~F.col("held_out")).select("raw"), keys_of, segments, 1 << 20)
-    grams, _ = log_filter(blobs, segments, bits_for(3 * (total_chars(docs) // 6), MAX_BITS), hashes_per_level)
-    shared = spark.sparkContext.broadcast((known, often, grams))
+    slices = filter_slices(blobs, segments, bits, hashes_per_level)
+    numbered = base.withColumn("row", F.monotonically_increasing_id())
+    if parts > 1:
+        slices, numbered = materialize(slices, "filter"), materialize(numbered, "numbered")
+
+    def part(i: int):
+        """Broadcast of the filter's i-th part."""
+        return spark.sparkContext.broadcast(gathered(slices, segments, bits, hashes_per_level, start=i * per, stop=(i + 1) * per)[0])
+
     below = 0.1 * (v + 1) + n
-    names = ["doc_id", "row", "held_out", "n_tokens", "known", "base", "score", "rare"]
-    types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64())]
 
-    def scored(rows: list[np.ndarray], end: int) -> list[pa.Array]:
-        """Columns n_tokens to rare for some rows, all their tokens at a time."""
-        known, often, grams = shared.value
+    def keys_by_row(rows: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Single and pair key of every token of some rows, and where rows begin and end."""
         t = np.concatenate(rows)
         at = np.r_[0, np.cumsum([len(r) for r in rows])]
         before = np.r_[np.uint64(end), t[:-1]]
         before[at[:-1]] = end
-        single = _middle(grams.levels(mix(t ^ _SINGLE)))
+        return mix(t ^ _SINGLE), mix(before * _PAIR + t), at
+
+    def score_of(single: np.ndarray, pair: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Scores of rows from the levels of their tokens' keys."""
+        single = _middle(single)
         ahead = np.r_[0.0, single[:-1]]
         ahead[at[:-1]] = single[at[1:] - 1]  # a row's last token is the end
-        pair = np.maximum(0.0, np.minimum(_middle(grams.levels(mix(before * _PAIR + t))), ahead) - discount)
+        pair = np.maximum(0.0, np.minimum(_middle(pair), ahead) - discount)
         p = (pair + mu * (single + 0.1) / below) / (ahead + mu)
-        signed = t.view(np.int64)
-        if len(known):
-            where = np.minimum(np.searchsorted(known, signed), len(known) - 1)
-            here = known[where] == signed
-            exact = np.where(here, np.log10((often[where] + 0.1) / below), 0.0)
-        else:
-            here, exact = np.zeros(len(t), bool), np.zeros(len(t))
-        add = lambda x: np.add.reduceat(x, at[:-1])  # noqa: E731  no row is without its end
-        rare = [signed[a:b][~here[a:b]] for a, b in zip(at[:-1], at[1:], strict=True)]
-        got = [np.diff(at), add(here.astype(np.int64)), add(exact), add(np.log10(p)), rare]
-        return [pa.array(x, y) for x, y in zip(got, types, strict=True)]
+        return np.add.reduceat(np.log10(p), at[:-1])  # no row is without its end
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def part_of(keys: np.ndarray) -> np.ndarray:
+        """Number of the part that holds each key."""
+        return (keys >> np.uint64(64 - (parts.bit_length() - 1))).astype(np.uint16) if parts > 1 else np.zeros(len(keys), np.uint16)
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], int]]:
+        """Rows with their tokens, some 2**17 tokens at a time."""
         hashes = WordHash()
         end = int(hashes.of([_END])[0])
         for batch in batches:
@@ -163,13 +170,75 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
                 rows.append(_tokens(hashes, batch["raw"][i].as_py()))
                 size += len(rows[-1])
                 if size > 1 << 17 or i == batch.num_rows - 1:
-                    part = batch.slice(first, len(rows))
-                    yield pa.RecordBatch.from_arrays([part["doc_id"], part["row"], part["held_out"], *scored(rows, end)], names)
+                    yield batch.slice(first, len(rows)), rows, end
                     rows, first, size = [], i + 1, 0
 
-    numbered = base.withColumn("row", F.monotonically_increasing_id())
-    seen = materialize(numbered.mapInArrow(scan, f"doc_id {kind}, row long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
-    shared.destroy()
+    whole = part(0) if parts == 1 else None
+    table = spark.sparkContext.broadcast((known, often))
+    names = ["doc_id", "row", "held_out", "n_tokens", "known", "base", "score", "parts", "rare"]
+    types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.int64())]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts and base scores, with the score if one part is the whole filter and else
+        with the part of every key."""
+        known, often = table.value
+        for batch, rows, end in chunks(batches):
+            single, pair, at = keys_by_row(rows, end)
+            if whole is not None:
+                got, dealt = score_of(whole.value.levels(single), whole.value.levels(pair), at), [None] * len(rows)
+            else:
+                a, b = part_of(single), part_of(pair)
+                got, dealt = [None] * len(rows), [np.r_[a[i:j], b[i:j]].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
+            signed = np.concatenate(rows).view(np.int64)
+            if len(known):
+                where = np.minimum(np.searchsorted(known, signed), len(known) - 1)
+                here = known[where] == signed
+                exact = np.where(here, np.log10((often[where] + 0.1) / below), 0.0)
+            else:
+                here, exact = np.zeros(len(signed), bool), np.zeros(len(signed))
+            rare = [signed[a:b][~here[a:b]] for a, b in zip(at[:-1], at[1:], strict=True)]
+            cols = [np.diff(at), np.add.reduceat(here.astype(np.int64), at[:-1]), np.add.reduceat(exact, at[:-1]), got, dealt, rare]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], batch["held_out"], *[pa.array(x, y) for x, y in zip(cols, types, strict=True)]], names)
+
+    seen = materialize(numbered.mapInArrow(scan, f"doc_id {kind}, row long, held_out boolean, n_tokens long, known long, base double, score double, parts binary, rare array<long>"), "scored")
+    table.destroy()
+
+    def levels_of(i: int, shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, rows, end in chunks(batches):
+                single, pair, at = keys_by_row(rows, end)
+                keys = np.concatenate([k[a:b] for a, b in zip(at[:-1], at[1:], strict=True) for k in (single, pair)])
+                mine = part_of(keys) == i
+                levels = shared.value.levels(keys[mine])
+                ends = np.r_[0, np.cumsum(mine)][2 * at]
+                blobs = [levels[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch["row"], pa.array(np.full(len(rows), i, np.int32)), pa.array(blobs, pa.binary())], ["row", "part", "levels"])
+
+        return scan
+
+    def rejoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in rows_in(batch):
+                got = {x["part"]: x["levels"] for x in row["got"]}
+                where = np.frombuffer(got.pop(-1), np.uint16)
+                levels = np.zeros(len(where), np.uint8)
+                for i, b in got.items():
+                    levels[where == i] = np.frombuffer(b, np.uint8)
+                half = len(levels) // 2
+                out.append(score_of(levels[:half], levels[half:], np.array([0, half]))[0])
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(out, pa.float64())], ["row", "score"])
+
+    if whole is not None:
+        whole.destroy()
+    else:
+        read = seen.select("row", F.lit(-1).alias("part"), F.col("parts").alias("levels"))
+        for i in range(parts):
+            shared = part(i)
+            read = read.unionByName(materialize(numbered.select("doc_id", "row", "raw").mapInArrow(levels_of(i, shared), "row long, part int, levels binary"), f"levels-{i}"))
+            shared.destroy()
+        scores = read.groupBy("row").agg(F.collect_list(F.struct("part", "levels")).alias("got")).mapInArrow(rejoined, "row long, score double")
+        seen = seen.drop("score").join(scores, "row")
     rare = seen.where(F.size("rare") > 0).select("row", F.explode("rare").alias("token"))
     c = F.coalesce(F.col("n"), F.lit(0))
     met = rare.join(counts.where(bucket < (cut if cut is not None else 1 << 30)), "token", "left").select("row", (c > 0).cast("long").alias("k"), F.log10((c + 0.1) / below).alias("b"))

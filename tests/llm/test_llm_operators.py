@@ -168,6 +168,13 @@ def test_base_scores_are_exact_at_any_cut(docs, rows):
             assert g["score"] < 0
 
 
+def test_a_filter_of_many_parts_gives_the_scores_of_one(docs, monkeypatch):
+    want = {d: r["score"] for d, r in by_id(lm_score.score(docs)).items()}
+    monkeypatch.setattr(lm_score, "MAX_BITS", 1 << 16)  # a sixteenth of what the corpus asks for
+    got = {d: r["score"] for d, r in by_id(lm_score.score(docs)).items()}
+    assert got == pytest.approx(want, rel=1e-12)
+
+
 def test_filter_levels():
     from quire.llm import _counts
 
