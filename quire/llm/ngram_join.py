@@ -2,7 +2,8 @@
 
 A document is the set of its distinct n-word shingles; two documents link when
 ``den * |A & B| >= num * |A | B|``.  The rows are links between classes (one
-class for each distinct set) and the class of every document.
+class for each distinct set) and the class of every document.  Classes have numbers
+of their own; only the result names them and their components by their least ids.
 
 1. Shingles are counted over all documents into a log-frequency filter of fixed
    size (:mod:`._counts`).  It only orders shingles by rarity: a wrong level costs
@@ -21,8 +22,8 @@ class for each distinct set) and the class of every document.
 Results for odd rows: null and blank texts have no shingles (size 0) and link
 with nothing, so their component is their own id.  Rows with equal ids and texts
 are equal rows of the result; rows with equal ids and different texts are judged
-each by its text.  A null id takes part in links; a component with no other id
-has a null root.  An empty table gives an empty result.  Only ``doc_id`` and
+each by its text (two components may then have the same name).  A null id takes
+part in links; a component with no other id has a null root.  An empty table gives an empty result.  Only ``doc_id`` and
 ``text`` are read, other columns may have any names.
 """
 
@@ -169,41 +170,46 @@ def document_sets(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFram
     return rows, base
 
 
-def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between classes, a class being named by its least id."""
+def narrow(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(NARROW + 1).count() <= NARROW else df
+
+
+def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(classes, links): every class with its number ``node`` and its least id ``rep``
+    (null if its rows have none), and links (a, b) between classes."""
     spark = rows.sparkSession
-    classes = rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
+    classes = rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")).withColumn("node", F.monotonically_increasing_id())
     n_rows, listed_rows = rows.agg(F.count("*"), F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()
     classes = materialize(classes, "classes", n_rows)
-    listed = classes.select("rep", "n", F.explode("prefix").alias("token"))
-    hubs = listed.groupBy("token").agg(F.min("rep").alias("hub"), F.max("rep").alias("other")).where("hub <> other").select("token", "hub")
-    met = listed.join(hubs, "token").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    listed = classes.select("node", F.explode("prefix").alias("token"))
+    hubs = listed.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("token", "hub")
+    met = listed.join(hubs, "token").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     cells = components(met, "cells", listed_rows).withColumnRenamed("root", "cell")
-    members = materialize(cells.join(classes.select(F.col("rep").alias("node"), "n", "s1", "s2"), "node"), "members", n_rows)
+    members = materialize(cells.join(classes.select("node", "rep", "n", "s1", "s2"), "node"), "members", n_rows)
 
     # The sets themselves, made anew for members only.
-    mine = spark.sparkContext.broadcast(KeyBits.of(members, "node"))
+    mine = spark.sparkContext.broadcast(KeyBits.of(members.select(F.coalesce("rep", F.lit(0)).alias("rep")), "rep"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets_of = shingler(n)()
-        schema = pa.schema([("node", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("tokens", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("tokens", pa.binary())])
         for batch in batches:
             kept = batch.filter(pa.array(mine.value.has(batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False))))
             cols: dict[str, list] = {f.name: [] for f in schema}
+            once = set()
             for row in rows_in(kept):
                 s = sets_of(row)
-                if len(s) and row["doc_id"] is not None:
-                    s1, s2 = signature(s)
-                    cols["node"].append(row["doc_id"])
+                s1, s2 = signature(s)
+                if len(s) and (row["doc_id"], s1, s2) not in once:
+                    once.add((row["doc_id"], s1, s2))
+                    cols["id"].append(row["doc_id"])
                     cols["s1"].append(s1)
                     cols["s2"].append(s2)
                     cols["tokens"].append(s.tobytes())
             yield rows_out(schema, cols)
 
-    def narrow(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.limit(NARROW + 1).count() <= NARROW else df
-
-    found = base.mapInArrow(scan, "node long, s1 long, s2 long, tokens binary").join(narrow(members.select("node", "s1", "s2")), ["node", "s1", "s2"], "left_semi")
+    # Of a class the rows of its least id, which may be null.
+    found = base.mapInArrow(scan, "id long, s1 long, s2 long, tokens binary").join(narrow(members.select("node", "rep", "s1", "s2")), ["s1", "s2"]).where(F.col("id").eqNullSafe(F.col("rep")))
     sets = materialize(found.dropDuplicates(["node"]).select("node", "tokens"), "tokens")
     mine.destroy()
 
@@ -225,7 +231,7 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
     own = placed.select("node", "n", "cell", "blk", F.col("blk").alias("blk2"), F.lit(0).alias("role"))
     wide = placed.groupBy("cell").agg(F.max("blk").alias("last")).where("last > 0")
     if wide.isEmpty():
-        return searched(own)
+        return classes, searched(own)
     wide = materialize(wide, "wide", n_rows)
     large = placed.join(wide, "cell")
     heads = large.where("blk = 0").withColumn("blk2", F.explode(F.sequence(F.lit(1), F.col("last")))).withColumn("role", F.lit(1))
@@ -244,15 +250,17 @@ def class_links(rows: DataFrame, base: DataFrame, n: int, num: int, den: int, bl
     pairs = span(large, "blk", "lo", "hi").join(span(rest, "blk2", "lo2", "hi2"), "cell").where((F.col("lo2") * num <= F.col("hi") * den) & (F.col("lo") * num <= F.col("hi2") * den)).select("cell", "blk", "blk2")
     index = large.select("node", "n", "cell", "blk").join(pairs, ["cell", "blk"]).withColumn("role", F.lit(1))
     probe = rest.join(pairs, ["cell", "blk2"]).withColumn("role", F.lit(2))
-    return links.unionByName(searched(index.select(names).unionByName(probe.select(names))))
+    return classes, links.unionByName(searched(index.select(names).unionByName(probe.select(names))))
 
 
 def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id for every row of ``docs``."""
     rows, base = document_sets(docs, n, num, den)
-    roots = components(class_links(rows, base, n, num, den, block))  # searched in tasks of their own
-    reps = rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("class_id"))
-    reps = reps.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    classes, links = class_links(rows, base, n, num, den, block)
+    roots = components(links)  # searched in tasks of their own
+    named = classes.select("s1", "s2", "n", "node", F.col("rep").alias("class_id"))
+    least = roots.join(named.select("node", "class_id"), "node").groupBy("root").agg(F.min("class_id").alias("least"))
+    reps = named.join(roots, "node", "left").join(narrow(materialize(least, "least")), "root", "left").select("s1", "s2", "n", "class_id", F.coalesce("least", "class_id").alias("root"))
     many = rows.select("doc_id", "n", "s1", "s2")
     out = many.where("n > 0").join(reps, ["s1", "s2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.col("root").alias("component_id"))
     blank = many.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))

@@ -67,6 +67,14 @@ def test_join(docs, rows, n, num, block):
     assert len({c for _, c in want.values()}) < len(want)
 
 
+def test_rows_of_one_id_and_rows_without_an_id_are_searched_by_their_texts(spark):
+    text = lambda x, w: " ".join([f"{x}{i}" for i in range(100)] + [w])
+    rows = [(5, text("a", "x")), (5, text("b", "x")), (9, text("a", "y")), (10, text("b", "y"))]
+    rows += [(3, text("c", "x")), (None, text("c", "y")), (None, text("d", "x")), (None, text("d", "y"))]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [(0, 0), (0, 0), (0, 3), (3, 3), (5, 5), (5, 5), (9, 5), (10, 5)]
+
+
 def test_divide_skip_finds_all_with_enough_overlap():
     r = random.Random(3)
     for _ in range(60):
