@@ -9,12 +9,12 @@ n(e), n(t) and n(e, t) of them holding the entity, the term, and the term within
     PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t))),    IC(e) = log2(N / n(e)).
 
 A term with PMI(e; t) >= IC(e) / ``alpha``, seen beside the entity in ``support``
-different contexts or more, exceeds the disclosure threshold: wherever a document
+different texts or more, exceeds the disclosure threshold: wherever a document
 holds the entity, the term's occurrences become spans too.  A term is generalised
 to its shape (``Aa``, ``a``, ``9``, ``a9``) as long as the shape itself stays
 under the threshold for that entity, else it is removed.
 
-Contexts count once each, so copies of a text support nothing.  Terms counted over
+Texts count once each, so copies of a text support nothing.  Terms counted over
 all documents are only those near some entity often enough; a fixed-size filter
 (:func:`with_maybe`) picks them and the counts behind it are exact.
 
@@ -116,8 +116,8 @@ def _outside(spans: list[Span], text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _mentions(text: str, reach: int) -> Iterator[tuple[int, list[str], int]]:
-    """(entity, terms around it, context) for every base span."""
+def _mentions(text: str, reach: int) -> Iterator[tuple[int, list[str]]]:
+    """(entity, terms around it) for every base span."""
     spans = base_spans(text)
     if not spans:
         return
@@ -125,9 +125,7 @@ def _mentions(text: str, reach: int) -> Iterator[tuple[int, list[str], int]]:
     starts = np.array([a for _, a, _ in terms], np.int64)
     for kind, a, b in spans:
         i, j = np.searchsorted(starts, [a, b])
-        near = [t for t, _, _ in terms[max(0, i - reach) : i]] + [t for t, _, _ in terms[j : j + reach]]
-        context = xxhash.xxh3_64_intdigest("\x00".join(near))
-        yield entity(kind, text[a:b]), near, int(np.uint64(context).view(np.int64))
+        yield entity(kind, text[a:b]), [t for t, _, _ in terms[max(0, i - reach) : i]] + [t for t, _, _ in terms[j : j + reach]]
 
 
 def _mark(spans: list[Span]) -> str:
@@ -138,28 +136,28 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
     """(mentions, flagged): every row's entities, and for each entity the terms
     that exceed the threshold with what becomes of them (1 generalise, 2 remove)."""
     base = docs.select("doc_id", text_key().alias("row"), F.col("text"))
-    schema = pa.schema([("e", pa.int64()), ("term", pa.string()), ("context", pa.int64()), ("doc", pa.int64())])
+    schema = pa.schema([("e", pa.int64()), ("term", pa.string()), ("row", pa.int64()), ("doc", pa.int64())])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in schema}
-            for text, doc in zip(batch["text"].to_pylist(), batch["k"].to_pylist(), strict=True):
+            for text, row, doc in zip(batch["text"].to_pylist(), batch["row"].to_pylist(), batch["k"].to_pylist(), strict=True):
                 if not text:
                     continue
                 once = set()
-                for e, terms, context in _mentions(text, reach):
-                    once.add((e, None, context))
-                    once.update((e, t, context) for t in terms)
-                    once.update((e, f"\x00{shape(t)}", context) for t in terms)
-                for e, t, c in once:
-                    for k, v in (("e", e), ("term", t), ("context", c), ("doc", doc)):
+                for e, terms in _mentions(text, reach):
+                    once.add((e, None))
+                    once.update((e, t) for t in terms)
+                    once.update((e, f"\x00{shape(t)}") for t in terms)
+                for e, t in once:
+                    for k, v in (("e", e), ("term", t), ("row", row), ("doc", doc)):
                         cols[k].append(v)
             yield rows_out(schema, cols)
 
-    seen = materialize(base.select("text", F.xxhash64("doc_id", "row").alias("k")).mapInArrow(near, "e long, term string, context long, doc long"), "mentions")
+    seen = materialize(base.select("text", "row", F.xxhash64("doc_id", "row").alias("k")).mapInArrow(near, "e long, term string, row long, doc long"), "mentions")
     entities = seen.where("term is null").groupBy("e", "doc").count().groupBy("e").agg(F.count("*").alias("n_e"))
-    contexts = seen.where("term is not null").groupBy("e", "term", "context").count().groupBy("e", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= support)
-    together = seen.join(contexts, ["e", "term"]).groupBy("e", "term", "contexts", "doc").count().groupBy("e", "term").agg(F.count("*").alias("n_et"))
+    texts = seen.where("term is not null").groupBy("e", "term", "row").count().groupBy("e", "term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support)
+    together = seen.join(texts, ["e", "term"]).groupBy("e", "term", "texts", "doc").count().groupBy("e", "term").agg(F.count("*").alias("n_et"))
     n_seen = seen.count()
     together = materialize(together.join(entities, "e"), "together", n_seen)
 

@@ -56,6 +56,15 @@ def test_terms_that_disclose_an_entity(spark):
     assert clean[100]["text"] == rows[6][1]
 
 
+def test_one_footer_under_different_texts_discloses(spark):
+    foot = "this note was sent to you by our friend zorblax boss@corp.example of the house on the hill beyond the river"
+    rows = [(i, f"body{i} {'word ' * i}other{i} {foot}") for i in range(1, 7)] + [(50 + i, f"quux boss2@corp.example copy {foot}") for i in range(3)]
+    rows += [(100 + i, f"plain text {i} this note was sent") for i in range(60)] + [(200 + i, "lone copy vendrell one@corp.example") for i in range(3)]
+    clean = by_id(pii.sanitised(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert all("zorblax" not in clean[i]["text"] for i in range(1, 7))
+    assert clean[200]["text"] == "lone copy vendrell [EMAIL]"  # copies of one text support nothing
+
+
 # ---- 2: n-gram Jaccard join -------------------------------------------------------
 
 
