@@ -10,8 +10,9 @@ bound) and must leave room for the whole window (length bound).  Every alignment
 is then verified word by word.
 
 The benchmark is read to the driver in blocks of ``block_chars`` characters, and
-one block at a time is broadcast; a larger benchmark means more passes over the
-documents, whose hits are put together by row, never a larger broadcast.
+one block at a time is broadcast.  A benchmark of several blocks means two passes over
+the documents for each: a block's hits are written, its broadcast is freed, and only
+then the next block is read; the hits are put together by row.
 
 Results for odd rows: null or blank texts have no words and no hits; null and
 blank items match nothing; items with a null id mark words as hit but are not
@@ -21,11 +22,13 @@ row of the result.  Empty tables give no rows, or rows without hits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._store import materialize, packed, text_key, unpacked, with_maybe
@@ -141,7 +144,37 @@ def _count(base: DataFrame, index: ItemIndex) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int64)), pa.array(c[at])], ["k", "s", "n"])
 
     for k, s, n in base.select("raw").mapInArrow(scan, "k int, s long, n long").groupBy("k", "s").agg(F.sum("n").alias("n")).toLocalIterator():
-        index.counts[k][s] = n
+        index.counts[k][s] = n  # a row for each shingle of the block at most
+    shared.destroy()
+
+
+_RANGE = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+_HITS = "n_words long, ranges array<struct<a: long, b: long>>, items array<string>"
+
+
+def _scan(index: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """doc_id, row, n_words, ranges and items of every row by the block's index."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = index.value
+        for batch in batches:
+            n, ranges, items = [], [], []
+            for raw in batch["raw"]:
+                words = item_words(raw.as_py())
+                r, i = own.hits(words)
+                n.append(len(words))
+                ranges.append([{"a": x, "b": y} for x, y in _union(r)])
+                items.append(sorted(map(str, i)))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(n, pa.int64()), pa.array(ranges, pa.list_(_RANGE)), pa.array(items, pa.list_(pa.string()))], ["doc_id", "row", "n_words", "ranges", "items"])
+
+    return scan
+
+
+def _covered(ranges: str) -> Column:
+    """Number of words that ranges cover, which may overlap."""
+    longer = lambda s, x: F.struct(F.greatest(s["end"], x["b"]).alias("end"), (s["n"] + F.greatest(x["b"] - F.greatest(s["end"], x["a"]), F.lit(0))).cast("long").alias("n"))
+    none = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    return F.aggregate(F.array_sort(ranges), none, longer)["n"]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, percent: int = 5) -> DataFrame:
@@ -149,47 +182,31 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id"), text_key().alias("row"), F.col("text").cast("binary").alias("raw"))
     kind = base.schema["doc_id"].dataType.simpleString()
-    item_kind = benchmark.schema["item_id"].dataType.simpleString()
-
-    def passed(index: ItemIndex) -> DataFrame:
-        shared = spark.sparkContext.broadcast(index)
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            for batch in batches:
-                n, ranges, items = [], [], []
-                for raw in batch["raw"].to_pylist():
-                    words = item_words(raw)
-                    r, i = own.hits(words)
-                    n.append(len(words))
-                    ranges.append([x for pair in _union(r) for x in pair])
-                    items.append(sorted(map(str, i)))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(n, pa.int64()), pa.array(ranges, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], ["doc_id", "row", "n_words", "ranges", "items"])
-
-        return base.mapInArrow(scan, f"doc_id {kind}, row long, n_words long, ranges array<long>, items array<string>")
-
-    parts = []
-    for items in _blocks(benchmark, block_chars):
+
+    def searched(items: list) -> tuple[DataFrame, Broadcast]:
         index = ItemIndex(items, window)
-        _count(base, index)
-        parts.append(passed(index.compile()))
-    if not parts:
-        parts.append(passed(ItemIndex([], window).compile()))
-    if len(parts) == 1:
-        got = parts[0]
-    else:  # the same row of several passes: a number in its pass keeps repeated rows apart
-        cut = [materialize(p.groupBy("doc_id", "row").agg(F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("ranges").alias("ranges"), F.first("items").alias("items")), "hits") for p in parts]
-        got = cut[0]
-        for p in cut[1:]:
-            got = got.unionByName(p)
-        got = got.groupBy("doc_id", "row").agg(F.first("copies").alias("copies"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("ranges")).alias("ranges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-        got = got.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies")
-    covered = F.udf(lambda r: sum(b - a for a, b in _union(list(zip(r[::2], r[1::2], strict=True)))), "long") if len(parts) > 1 else None
-    if covered is None:  # ranges of one pass do not overlap
-        hit = F.aggregate(F.transform("ranges", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
+        if items:
+            _count(base, index)
+        shared = spark.sparkContext.broadcast(index.compile())
+        return base.mapInArrow(_scan(shared), f"doc_id {kind}, row long, {_HITS}"), shared
+
+    blocks = _blocks(benchmark, block_chars)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        got, _ = searched(first)
     else:
-        hit = covered("ranges")
-    out = got.withColumn("n_hit", hit)
+        written = None
+        for items in chain([first, second], blocks):
+            hits, shared = searched(items)
+            part = materialize(hits.where(F.size("ranges") > 0).groupBy("doc_id", "row").agg(F.first("ranges").alias("ranges"), F.first("items").alias("items")), "hits")
+            shared.destroy()
+            written = part if written is None else written.unionByName(part)
+        found = written.groupBy(F.col("doc_id").alias("id2"), F.col("row").alias("row2")).agg(F.flatten(F.collect_list("ranges")).alias("ranges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        counted = base.mapInArrow(_scan(spark.sparkContext.broadcast(ItemIndex([], window).compile())), f"doc_id {kind}, row long, {_HITS}").select("doc_id", "row", "n_words")
+        none = [F.array().cast(t).alias(c) for c, t in (("ranges", "array<struct<a: long, b: long>>"), ("items", "array<string>"))]
+        joined = counted.join(found, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("row") == F.col("row2")), "left")
+        got = joined.select("doc_id", "row", "n_words", *[F.coalesce(c, x).alias(c) for c, x in zip(("ranges", "items"), none, strict=True)])
+    out = got.withColumn("n_hit", _covered("ranges"))
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
@@ -207,10 +224,12 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without contaminated rows.  A filter of fixed size lets clean rows
-    pass without a shuffle; what it holds back is settled by an exact join."""
-    bad = materialize(decontaminate(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("id2"), F.col("row").alias("row2")).distinct().withColumn("key", F.xxhash64("id2", "row2")), "contaminated", docs.count())
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = 0) -> DataFrame:
+    """``docs`` without the rows of which windows of the benchmark cover ``percent`` of
+    the words or more (0: any row that holds a window, however long it is).  A filter of
+    fixed size lets clean rows pass without a shuffle; what it holds back is settled by
+    an exact join."""
+    bad = materialize(decontaminate(docs, benchmark, window, percent=percent).where("contaminated").select(F.col("doc_id").alias("id2"), F.col("row").alias("row2")).distinct().withColumn("key", F.xxhash64("id2", "row2")), "contaminated", docs.count())
     keyed = packed(docs, "doc_id", "text").withColumn("row", text_key()).withColumn("rowkey", F.xxhash64("doc_id", "row"))
     keyed = with_maybe(keyed, "rowkey", bad, "key")
     held = keyed.where("maybe").join(bad.select("id2", "row2"), F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("row") == F.col("row2")), "left_anti")

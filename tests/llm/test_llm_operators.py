@@ -168,9 +168,20 @@ def test_decontamination(docs, rows, items, block):
         assert (g["n_items"], g["items_sha256"]) == (named[d][2], named[d][3])
     assert any(w[4] for w in want.values())
     kept = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()}
+    assert kept == {d for d, w in want.items() if not w[1]}
+    kept = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, items, percent=5).collect()}
     assert kept == {d for d, w in want.items() if not w[4]}
 
 
+def test_a_window_in_a_long_text_is_dropped(spark):
+    said = " ".join(f"item{i}" for i in range(13))
+    long = " ".join(f"word{i}" for i in range(3000))
+    df = spark.createDataFrame([(1, f"{long} {said} {long}"), (2, long), (3, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, said)], "item_id bigint, text string")
+    assert not by_id(decontaminate.decontaminate(df, bench))[1]["contaminated"]
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(df, bench).collect()} == {2, 3}
+
+
 # ---- 5: language model ------------------------------------------------------------
 
 

@@ -29,7 +29,7 @@ def test_stages_keep_columns_and_take_effect(spark, folder):
     leak = stages["benchmark_decontamination"](spark, docs, folder)
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     assert leak.columns == docs.columns
-    assert {r["doc_id"] for r in leak.collect()} == {d for d, w in brute.leaks(list(rows.items()), items).items() if not w[4]}
+    assert {r["doc_id"] for r in leak.collect()} == {d for d, w in brute.leaks(list(rows.items()), items).items() if not w[1]}
     safe = stages["pii"](spark, docs, folder)
     assert safe.columns == docs.columns and safe.count() == len(rows)
     assert not any(pii.base_spans(r["text"]) for r in safe.collect())
