@@ -5,9 +5,9 @@ Whole texts, measured in words, are put into bins (training sequences) of
 pieces, and its rest is packed like a text.  Two pieces of one duplicate cluster,
 or (``one_per_source``) of one source, never share a bin.
 
-Rows are dealt by a hash of their id to cells of about ``cell`` rows, each packed
-in one task: neither a hot source nor a hot cluster makes a cell large, and bins
-of different cells share nothing.  In a cell pieces come in the order of falling
+Rows are dealt by a hash of their id and text to cells of about ``cell`` rows, each
+packed in one task: neither a hot source, a hot cluster nor an id of many rows makes
+a cell large, and bins of different cells share nothing.  In a cell pieces come in the order of falling
 length.  Open bins stand by residual; those with equal residual and equal source
 bitmap stand together with their cluster bitmaps, so that a step of the successor
 search passes over all bins that the source rules out.  The search goes from the
@@ -16,15 +16,17 @@ tightest one.  If there is none a bin is opened.
 
 Results for odd rows: null and blank texts have no words and no piece (bin null,
 pieces 0).  Rows that repeat an id or a text are packed each, in different bins.
-Null sources are one source of their own.  An empty table gives an empty result.
+Null sources are one source of their own.  Ids come out as they went in, null ones
+too.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,21 +108,25 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cell: int = CELL, one_per_so
     lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
     words = F.filter(F.split(lowered, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     named = F.xxhash64(F.array_join(words, " ")) if cluster is None else F.xxhash64(F.col(cluster))
-    known = docs.select(F.col("doc_id"), F.col("source"), F.size(words).cast("long").alias("n_words"), named.alias("cluster"), F.xxhash64("doc_id", "text").alias("h"))
+    known = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), F.size(words).cast("long").alias("n_words"), named.alias("cluster"), F.xxhash64("doc_id", "text").alias("h"))
     cells = n_cells or max(1, -(-docs.count() // cell))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, source string, n_words long, piece int, piece_words long, bin string, bin_slot int"
 
-    def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "h"], kind="stable").reset_index(drop=True)
-        rows, slots = [], {}
-        ids, sources, sizes = pdf["doc_id"].tolist(), pdf["source"].where(pdf["source"].notna(), None).tolist(), pdf["n_words"].tolist()
-        for row, piece, b, n in pack_cell(sizes, sources, pdf["cluster"].tolist(), capacity, one_per_source):
-            slots[b] = slots.get(b, -1) + 1
-            rows.append((ids[row], sources[row], sizes[row], piece, n, f"{key[0]}-{b}", slots[b]))
-        return pd.DataFrame(rows, columns=["doc_id", "source", "n_words", "piece", "piece_words", "bin", "bin_slot"]).astype({"doc_id": "Int64"} if kind in ("bigint", "int") else {})
-
-    held = known.where("n_words > 0").withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.lit(cells)).cast("int"))
-    packed = held.groupBy("cell").applyInPandas(fill, schema)
-    blank = known.where("n_words = 0").select("doc_id", "source", "n_words", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("piece_words"), F.lit(None).cast("string").alias("bin"), F.lit(None).cast("int").alias("bin_slot"))
-    return packed.unionByName(blank)
+    def fill(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("doc_id", "ascending"), ("h", "ascending")])
+        sizes, sources = rows["n_words"].to_pylist(), rows["source"].to_pylist()
+        packed = pack_cell(sizes, sources, rows["cluster"].to_pylist(), capacity, one_per_source)
+        packed += [(row, 0, None, 0) for row, n in enumerate(sizes) if n == 0]
+        row, piece, bins, n = ([p[i] for p in packed] for i in range(4))
+        used: Counter = Counter()
+        at = []
+        for b in bins:
+            at.append(None if b is None else used[b])
+            used[b] += 1
+        kept = rows.select(["doc_id", "source", "n_words"]).take(pa.array(row, pa.int64()))
+        named = [None if b is None else f"{key[0].as_py()}-{b}" for b in bins]
+        more = {"piece": pa.array(piece, pa.int32()), "piece_words": pa.array(n, pa.int64()), "bin": pa.array(named, pa.string()), "bin_slot": pa.array(at, pa.int32())}
+        return pa.table({**{c: kept[c] for c in kept.column_names}, **more})
+
+    return known.withColumn("cell", F.pmod(F.xxhash64("h"), F.lit(cells)).cast("int")).groupBy("cell").applyInArrow(fill, schema)

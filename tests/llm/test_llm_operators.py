@@ -135,6 +135,15 @@ def test_packing_keeps_all_words_and_every_constraint(docs, rows):
         assert len(set(sources[b])) == len(sources[b]) and len(set(clusters[b])) == len(clusters[b])
 
 
+def test_ids_come_out_as_they_went_in(spark):
+    ids = [(1 << 60) + 1, (1 << 60) + 3, None, None, 7, 7]
+    df = spark.createDataFrame([(d, f"text number {i}", "s") for i, d in enumerate(ids)], "doc_id bigint, text string, source string")
+    got = [r["doc_id"] for r in packing.pack(df, n_cells=1).collect()]
+    assert Counter(got) == Counter(ids)
+    named = packing.pack(df.withColumn("doc_id", df["doc_id"].cast("string")), n_cells=2).collect()
+    assert Counter(r["doc_id"] for r in named) == Counter(None if d is None else str(d) for d in ids)
+
+
 def test_the_tightest_compatible_bin_is_chosen():
     r = random.Random(5)
     for _ in range(50):
