@@ -86,6 +86,6 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_hit, 0) AS n_
 FROM d LEFT JOIN k USING (r) LEFT JOIN m USING (r)
 """
 
-ORACLES: dict[str, str] = {"op4_decontaminate": _OP4}
+ORACLES: dict[str, str] = {"op4_decontaminate": _OP4, "op6_sharding": sharding.oracle()}
 
 

@@ -8,8 +8,10 @@ subtree.  The first ``BASE`` shards fill regions of two racks of five; each furt
 shard opens a region of its own, so one more shard takes rows only into itself.
 
 Native expressions only: a row is placed without a shuffle.  Slots number the rows
-of a shard from 0 without gaps: rows are numbered in ``parts`` hash parts of every
-shard, and a small table (shards times parts) holds where each part begins.
+of a shard from 0 without gaps: rows are numbered in hash parts of every shard, by id,
+checksum and size, and a small table (shards times parts) holds where each part begins.
+A part is chosen by key and checksum, so rows without an id are spread too, and there
+are more parts with more rows: a part holds some ``PART_ROWS`` rows at any size.
 
 Results for odd rows: a null id is the key ``null``; null texts have 16 bytes and
 the checksum of the empty text; repeated rows share a shard and have a slot each.
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BASE, RACKS, LEAVES, PARTS = 40, 2, 5, 64
+BASE, RACKS, LEAVES, PARTS, PART_ROWS, FEW = 40, 2, 5, 64, 250_000, 1_000_000
 
 
 @dataclass
@@ -80,18 +82,21 @@ def descend(key: str, root: Node) -> Column:
     return _least(k, _least(k, _least(k, _literal(root.children, 2)))).cast("int")
 
 
-def shard(docs: DataFrame, shards: int = BASE, weights: dict[int, float] | None = None, parts: int = PARTS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = BASE, weights: dict[int, float] | None = None, parts: int | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", (F.length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__key"))
     # A generator's columns are worked out once, whatever is joined or grouped by them.
     placed = F.struct(descend("__key", tree(shards, weights)).alias("shard"), descend("__key", tree(shards + 1, weights)).alias("grown_shard"))
     rows = rows.select("*", F.inline(F.array(placed)))
-    rows = rows.withColumn("__part", F.pmod(F.xxhash64("__key"), F.lit(parts)).cast("int"))
+    parts = parts or max(PARTS, -(-docs.count() // (shards * PART_ROWS)))
+    digits = F.substring(F.md5(F.concat_ws("/", "__key", F.col("text_crc32").cast("string"))), 1, 8)
+    rows = rows.withColumn("__part", (F.conv(digits, 16, 10).cast("long") % parts).cast("int"))
     counts = rows.groupBy("shard", "__part").agg(F.count("*").alias("__n"))
     first = counts.select("shard", "__part", (F.sum("__n").over(Window.partitionBy("shard").orderBy("__part")) - F.col("__n")).alias("__first"))
     place = Window.partitionBy("shard", "__part").orderBy("doc_id", "text_crc32", "size")
-    out = rows.withColumn("__at", F.row_number().over(place) - 1).join(F.broadcast(first), ["shard", "__part"])  # shards * parts rows
+    few = shards * parts <= FEW
+    out = rows.withColumn("__at", F.row_number().over(place) - 1).join(F.broadcast(first) if few else first, ["shard", "__part"])
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("__first") + F.col("__at")).cast("long").alias("slot"), "grown_shard")
 
 
@@ -113,10 +118,27 @@ def _sql_shard(root: Node) -> str:
     return f"CAST(CASE {_sql_least(root.children)} {' '.join(case)} END AS INTEGER)"
 
 
-def oracle(shards: int = BASE) -> str:
-    """The same in DuckDB SQL, but for text_crc32 and slot (whose order is free)."""
+#: Checksum of a blob's bytes in SQL: the table of 256 remainders is worked out from its polynomial.
+_SQL_CRC = """
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(0, octet_length(b)), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS UBIGINT))),
+        lambda a, c: xor(a >> 8, r[CAST(xor(a, c) & 255 AS INTEGER) + 1])), 4294967295::UBIGINT)"""
+
+
+def oracle(shards: int = BASE, parts: int = PARTS) -> str:
+    """The same in DuckDB SQL, for tables of no more than ``parts`` parts a shard."""
     return f"""
-        WITH d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, coalesce(text, '') AS t FROM documents)
-        SELECT doc_id, CAST(octet_length(encode(t)) + 16 AS BIGINT) AS size, 'key' AS law,
-               {_sql_shard(tree(shards))} AS shard, {_sql_shard(tree(shards + 1))} AS grown_shard
-        FROM d"""
+        WITH t AS (
+            SELECT list(list_reduce(list_prepend(n, range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) ORDER BY n) AS r
+            FROM (SELECT unnest(range(256))::UBIGINT AS n)
+        ), d AS (
+            SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x FROM documents
+        ), c AS (
+            SELECT doc_id, k, CAST(octet_length(b) + 16 AS BIGINT) AS size, CAST({_SQL_CRC} AS BIGINT) AS text_crc32 FROM d, t
+        ), s AS (
+            SELECT *, {_sql_shard(tree(shards))} AS shard, {_sql_shard(tree(shards + 1))} AS grown_shard,
+                   CAST('0x' || substr(md5(k || '/' || text_crc32), 1, 8) AS UBIGINT) % {parts} AS part
+            FROM c
+        )
+        SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY part, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+        FROM s"""
