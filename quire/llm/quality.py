@@ -2,7 +2,8 @@
 
 1. A logistic classifier on shape features of the text (shares of letters, capitals,
    digits, marks and bars, word lengths, repetition) gives each document its own
-   evidence p.  It is fitted on the driver on a bounded sample of labelled rows.
+   evidence p.  It is fitted on the driver on at most ``per_class``
+   labelled rows of either class, one for each id.
 2. Evidence is added up for every host and every path of it (grouped aggregates that
    are combined before the shuffle, so a host with a third of all rows is one row).
    With a prior strength by the method of moments, a host's posterior mean shrinks
@@ -96,8 +97,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "x": [features(t) for t in pdf["text"]]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = sorted((r["doc_id"], r["label"], *r["x"]) for r in labelled_sample(docs, labels, label, folds, per_class).mapInPandas(scan, f"doc_id {kind}, label int, x array<double>").toLocalIterator())
-    table = np.array([r[1:] for r in got[: 4 * per_class]], np.float64).reshape(-1, 1 + len(features("")))
+    got = sorted((r["doc_id"], r["label"], *r["x"]) for r in labelled_sample(docs, labels, label, folds, per_class).mapInPandas(scan, f"doc_id {kind}, label int, x array<double>").collect())
+    table = np.array([r[1:] for r in got], np.float64).reshape(-1, 1 + len(features("")))  # 2 * per_class rows at most
     return fit(expand(table[:, 1:]), table[:, 0])
 
 

@@ -9,8 +9,10 @@ the sum of both.
 
 The machine is fitted on the driver on at most ``per_class`` labelled rows of either
 class, those with the least hash of their id (a documented sample, bounded whatever
-the input; sent there as counts of hashed terms).  From them the ``KEPT`` buckets
-that tell most about the label are used.  All rows are scored; the model is some
+the input; sent there as counts of hashed terms).  Of rows that repeat an id the one
+whose text has the least hash is learnt from; the others are cut before they are sent.
+The machine's width is ``KEPT`` buckets, a parameter: those that tell most about the
+label.  All rows are scored; the model is some
 100 kB.  Labels are the only thing read beside texts, and those of held-out ids
 (crc32 of the id mod ``folds`` is 0) are never read.
 
@@ -123,13 +125,15 @@ def fit(keys: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, ke
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, per_class: int) -> DataFrame:
-    """doc_id, text and label of at most ``per_class`` rows of either class."""
+    """doc_id, text and label of at most ``per_class`` rows of either class: one for
+    each id, so that no id's rows are gathered in a task or on the driver."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label is not null")
     known = known.where(crc % folds != 0).groupBy("doc_id").agg(F.max("label").alias("label"))
     parts = [known.where(F.col("label") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for t in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * per_class rows
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+    found = docs.select("doc_id", "text").join(chosen, "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, per_class: int = PER_CLASS) -> Machine:
@@ -141,8 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sample = labelled_sample(docs, labels, label, folds, per_class).mapInArrow(scan, f"label int, doc_id {kind}, k array<int>, n array<int>").toArrow()
-    order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")[: 4 * per_class]  # rows that repeat an id could be more
-    sample = sample.take(order).combine_chunks()
+    sample = sample.sort_by("doc_id").combine_chunks()  # 2 * per_class rows at most
     lists = lambda c: [x.values.to_numpy(zero_copy_only=False) for x in sample[c]]
     return fit(lists("k"), lists("n"), sample["label"].to_numpy())
 

@@ -263,6 +263,13 @@ def test_shards_are_those_of_sql_and_balanced(spark):
     con = duckdb.connect()
     con.sql("create view documents as select range as doc_id, 't' as text from range(4000)")
     want = {r[0]: (r[1], r[2]) for r in con.sql(f"select doc_id, shard, grown_shard from ({sharding.oracle()})").fetchall()}
+    odd = [(d, t) for d, t, *_ in odd_rows()] + [(None, f"without an id {i}") for i in range(200)]
+    got_odd = sharding.shard(spark.createDataFrame(odd, "doc_id bigint, text string")).select("doc_id", "size", "text_crc32", "shard", "slot", "grown_shard").collect()
+    con.execute("create or replace table odd (doc_id bigint, text varchar)")
+    con.executemany("insert into odd values (?, ?)", odd)
+    con.sql("create or replace view documents as select * from odd")
+    order = lambda rows: sorted(tuple(-1 if x is None else x for x in r) for r in rows)
+    assert order(got_odd) == order(con.sql(f"select doc_id, size, text_crc32, shard, slot, grown_shard from ({sharding.oracle()})").fetchall())
     assert got == want
     n = Counter(s for s, _ in got.values())
     assert len(n) == 40 and max(n.values()) < 2 * min(n.values())
@@ -332,6 +339,17 @@ def test_quality_follows_labels_and_shrinks_sites(spark):
     assert abs(got[399]["host_mean"] - overall) < 0.2  # one row says little
 
 
+def test_an_id_of_very_many_rows_is_learnt_from_once(spark):
+    rows = [(1, f"row {i} of one id") for i in range(10_000)] + [(i, f"text {i}") for i in range(2, 60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    lb = spark.createDataFrame([(i, i % 2, i % 3 % 2) for i in range(1, 60)], "doc_id bigint, quality int, toxic int")
+    sample = toxicity.labelled_sample(df, lb, "toxic", 5, 20).collect()
+    assert len(sample) <= 40 and len({r["doc_id"] for r in sample}) == len(sample)
+    again = toxicity.labelled_sample(df.repartition(3), lb, "toxic", 5, 20).collect()
+    assert sorted(sample) == sorted(again)
+    assert toxicity.score(df, lb).count() == quality.classify(df, lb).count() == len(rows)
+
+
 # ---- 9: fingerprints --------------------------------------------------------------
 
 
