@@ -8,6 +8,8 @@ import zlib
 from collections import Counter
 from math import log10
 
+import xxhash
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -113,3 +115,51 @@ def without_repeats(rows: list[tuple[int, str | None]], window: int) -> dict[int
                 gone.update(range(p, p + window))
         out[d] = (len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
     return out
+
+
+class _Int(int):
+    """An integer of 4 bytes."""
+
+
+def _xx(*values) -> int:
+    """Hash of several values, each seeded with the one before; longs are 8 bytes."""
+    seed = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else (v % (1 << 64)).to_bytes(8, "little")[: 4 if isinstance(v, _Int) else 8]
+        seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def order_minhash(text: str | None, k: int = 3, buckets: int = 64) -> set[tuple[int, int]]:
+    """(bucket, 24 bits of its tuple's hash) for every bucket that holds a k-mer."""
+    words = [_xx(w) for w in re.findall("[^ \t\n\x0b\f\r]+", (text or "").lower())]
+    if not words:
+        return set()
+    if len(words) < k:
+        whole = 0
+        for w in words:
+            whole = _xx(whole, w)
+        kmers = [whole]
+        names = [whole >> 28]
+    else:
+        names = [_xx(*words[i : i + k]) >> 28 for i in range(len(words) - k + 1)]
+    seen: Counter = Counter()
+    ranked = []
+    for at, name in enumerate(names):
+        ranked.append((_xx(name, _Int(seen[name])) >> 28, at))
+        seen[name] += 1
+    ranked.sort()
+    out = set()
+    for i, (rank, at) in enumerate(ranked):
+        bucket = rank >> 30
+        if i and ranked[i - 1][0] >> 30 == bucket:
+            continue
+        other, there = ranked[(i + 1) % len(ranked)]
+        pair = (rank, other) if at < there else (other, rank)
+        out.add((bucket, (_xx(*pair) if len(ranked) > 1 else _xx(rank)) % (1 << 24)))
+    return out
+
+
+def alike(a: set, b: set) -> float:
+    either = {x for x, _ in a} | {x for x, _ in b}
+    return len(a & b) / len(either) if either else 1.0

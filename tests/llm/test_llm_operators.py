@@ -353,19 +353,37 @@ def test_an_id_of_very_many_rows_is_learnt_from_once(spark):
 # ---- 9: fingerprints --------------------------------------------------------------
 
 
-def test_fingerprints(docs, rows):
-    got = by_id(fingerprint.fingerprints(docs))
-    order = sorted(rows)
-    for i, (d, text, *_) in enumerate(order):
-        nxt = order[(i + 1) % len(order)][1]
+def _in_order(rows):
+    """Rows by id, those of one id by the hash of their texts, null first."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, brute._xx(r[1] or ""), r[1] or ""))
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_fingerprints(spark, rows, many, monkeypatch):
+    every = [(r[0], r[1]) for r in [*rows, *odd_rows()]]
+    if many:  # several blocks, some of one id
+        monkeypatch.setattr(fingerprint, "BLOCK_ROWS", 5)
+        every += [(77, f"row {i} of one id") for i in range(60)] + [(None, f"row {i} of none") for i in range(60)] + [((1 << 60) + i % 3, f"far {i}") for i in range(9)]
+    got = [tuple(r) for r in fingerprint.fingerprints(spark.createDataFrame(every, "doc_id bigint, text string")).collect()]
+    want, order = [], _in_order(every)
+    for i, (d, text) in enumerate(order):
+        text, nxt = text or "", order[(i + 1) % len(order)][1] or ""
         half = len(text) // 2
-        assert got[d]["n_chars"] == len(text)
-        assert got[d]["edited_sha256"] == brute.sha(text[: len(text) - half] + nxt[:half])
+        edited = text[: len(text) - half] + nxt[:half]
+        a, b, c = (brute.order_minhash(t) for t in (text, edited, nxt))
+        said = lambda s: "".join(f"{((x + 32) << 24) + v:08X}" for x, v in sorted(s))
+        want.append((d, len(text), brute.sha(edited), said(a), said(b), brute.alike(a, b), brute.alike(a, c)))
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1:]))
+    assert order(got) == order(want)
     same = defaultdict(set)
     for d, text, *_ in rows:
-        same[text].add(got[d]["fingerprint"])
-    assert all(len(s) == 1 for s in same.values())
-    assert len({next(iter(s)) for s in same.values()}) == len(same)
+        same[text].add(next(r[3] for r in got if r[0] == d))
+    assert all(len(s) == 1 for s in same.values()) and len({next(iter(s)) for s in same.values()}) == len(same)
+
+
+def test_no_exchange_to_one_partition(docs):
+    plan = fingerprint.fingerprints(docs)._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
 def test_order_matters_and_occurrences_count(spark):
