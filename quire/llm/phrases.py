@@ -5,44 +5,54 @@ window whose words also start in a document with a smaller id.
 
 1. Every document's distinct windows are counted into a filter of fixed size
    (:mod:`._counts`); what two documents share passes it.  False passes cost time only.
-2. Windows that pass are cut into stretches with a common phrase: the ``phrase``
-   words with the least hash in the window.  Equal windows have equal phrases, so a
-   hash of the phrase names the shard where all stretches of a window meet.  Equal
-   stretches of one batch of rows travel as one row with all their places, so copies
-   and hot passages are gathered before they move.
-3. In a shard the confirmed phrases come first and are compiled to an Aho-Corasick
-   automaton; then stretches stream by in the order of document ids.  The automaton
-   locates every occurrence of a phrase; the windows about it are looked up among
-   those already seen, which gives each its first document.  Memory holds one
-   shard's automaton and the windows of its phrases; there are more shards with more
-   partitions.
-4. Ranges are put together by row; rows without any take no shuffle.
+2. All documents are read in batches.  A row none of whose windows passes is done with.
+   Of the others a batch notes each distinct window that passes, by its hash, with the
+   least id that holds it in the batch, and its phrase: the ``phrase`` words with the
+   least hash in the window, so that equal windows have equal phrases.
+3. The notes of all batches meet by segments of the hash, where a window is confirmed
+   as recurring by its exact ids, and its first document is told to the batches that
+   hold it in later ones.  A batch notes a window once, however many rows hold it, so no
+   window, phrase or group of copies is hot.
+4. A batch compiles the phrases of its confirmed windows to an Aho-Corasick automaton
+   (a shard: all automata together hold all confirmed phrases) and streams its rows
+   through it.  The automaton finds every occurrence of a phrase, word by word; only
+   windows about these are looked up, and go if their first document is an earlier one.
+   Two windows are thus equal by a phrase of equal words and by 64 bits of hash.
+
+A batch has a bounded number of windows and of text, a segment some ``SEGMENT`` notes;
+their numbers grow with the input.
 
 Results for odd rows: null and blank texts have no words; rows with a null id keep
 all their words and are nobody's first document; rows that repeat an id are one
-document, each cut by documents with smaller ids only.  An empty table gives an
-empty result.
+document, each cut by documents with smaller ids only.  Ids are integers.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._counts import bits_for, key_blobs, log_filter, segments_for, total_chars
-from ._store import materialize, partitions, text_key, with_maybe
-from ._words import WordHash, rows_in, rows_out, run_hashes, runs, window_minima
+from ._store import materialize, partitions
+from ._words import WordHash, run_hashes, window_minima
 
 WINDOW, PHRASE = 50, 8
-_SENT = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("first", pa.int64()), ("text", pa.binary()), ("docs", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
-_FOUND = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("ranges", pa.list_(pa.int64()))])
+#: Windows and bytes of text of a batch, and windows of a segment.
+BATCH, BATCH_BYTES, SEGMENT = 1 << 18, 1 << 23, 1 << 20
+_DONE, _OPEN, _NOTES, _PHRASES, _FIRSTS = range(5)
+_MANY = np.uint32(1 << 31)  # the batch holds the window in several documents
+#: A batch's rows, notes (a: windows, b: least ids, c: numbers of phrases) and phrases.
+_CUT = {"kind": pa.int32(), "batch": pa.int64(), "seg": pa.int32(), "doc": pa.int64(), "raw": pa.binary(), "n_words": pa.int64(), "digest": pa.string(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary()}
+_CUT_SQL = "kind int, batch long, seg int, doc long, raw binary, n_words long, digest string, a binary, b binary, c binary"
+_OUT = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept_text": pa.string()}
 
 
 def plain_words(raw: bytes | None) -> list[bytes]:
@@ -50,147 +60,113 @@ def plain_words(raw: bytes | None) -> list[bytes]:
     return raw.split() if raw else []
 
 
-def stretches(words: list[bytes], hashes: np.ndarray, passed: np.ndarray, window: int, phrase: int) -> Iterator[tuple[int, int, int]]:
-    """(first window, last window, phrase position) of the windows that passed."""
-    at = np.flatnonzero(passed)
-    if not len(at):
-        return
-    grams = run_hashes(hashes, phrase)
-    lows = window_minima(grams, at, window - phrase + 1)
-    for i, j in runs(at, lows):
-        yield int(at[i]), int(at[j]), int(lows[i])
+def _rows(cols: dict[str, list]) -> pa.RecordBatch:
+    """Rows of a batch's table; columns that are not given are null."""
+    n = len(next(iter(cols.values())))
+    return pa.RecordBatch.from_arrays([pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in _CUT.items()], list(_CUT))
+
+
+class Notes:
+    """Windows of a batch that may recur, with their least ids and phrases."""
+
+    def __init__(self, segments: int):
+        self.shift = np.uint64(64 - (segments.bit_length() - 1))
+        self.clear()
+
+    def clear(self) -> None:
+        self.batch = secrets.randbits(63)
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.phrases: dict[int, bytes] = {}
+        self.windows = self.bytes = 0
+
+    def add(self, doc: int, words: list[bytes], keys: np.ndarray, grams: np.ndarray, lows: np.ndarray, phrase: int) -> None:
+        for p in np.unique(lows).tolist():
+            self.phrases.setdefault(int(grams[p]), b" ".join(words[p : p + phrase]))
+        self.held.append((keys, np.full(len(keys), doc, np.int64), grams[lows]))
+        self.windows += len(keys)
+        self.bytes += sum(map(len, words))
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        keys, docs, grams = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.lexsort((docs, keys))
+        keys, docs = keys[order], docs[order]
+        at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        last = np.r_[at[1:], len(keys)] - 1
+        named = {g: i for i, g in enumerate(self.phrases)}
+        number = np.fromiter(map(named.__getitem__, grams[order][at].tolist()), np.uint32, len(at)) | np.where(docs[last] > docs[at], _MANY, np.uint32(0))
+        keys, docs = keys[at], docs[at]
+        seg = (keys >> self.shift).astype(np.int32)
+        cut = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+        cols: dict[str, list] = {c: [] for c in ("kind", "batch", "seg", "a", "b", "c")}
+        for i, j in zip(cut.tolist(), np.r_[cut[1:], len(seg)].tolist(), strict=True):
+            for c, x in zip(cols, (_NOTES, self.batch, int(seg[i]), keys[i:j].tobytes(), docs[i:j].tobytes(), number[i:j].tobytes()), strict=True):
+                cols[c].append(x)
+        yield _rows(cols)
+        yield _rows({"kind": [_PHRASES], "batch": [self.batch], "a": [b"\n".join(self.phrases.values())]})
+        self.clear()
+
+
+def first_documents(notes: pa.Table) -> pa.Table:
+    """For each batch of a segment the windows that it holds in a document later than
+    their first one, with that first document."""
+    keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in notes["a"]]
+    sizes = [len(k) for k in keys]
+    docs = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in notes["b"]])
+    number = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in notes["c"]])
+    keys = np.concatenate(keys)
+    order = np.lexsort((docs, keys))
+    new = np.r_[True, keys[order][1:] != keys[order][:-1]]
+    first = np.empty(len(keys), np.int64)
+    first[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    told = (docs > first) | (number & _MANY > 0)
+    ends = np.cumsum([0, *sizes])
+    out: dict[str, list] = {c: [] for c in ("batch", "a", "b", "c")}
+    for batch, i, j in zip(notes["batch"].to_pylist(), ends[:-1], ends[1:], strict=True):
+        mine = np.flatnonzero(told[i:j]) + i
+        if len(mine):
+            for c, x in zip(out, (batch, keys[mine].tobytes(), first[mine].tobytes(), (number[mine] & ~_MANY).tobytes()), strict=True):
+                out[c].append(x)
+    return pa.table({c: pa.array(x, _CUT[c]) for c, x in out.items()})
 
 
 class Shard:
-    """One shard: automaton of its phrases and first documents of its windows."""
-
-    def __init__(self, window: int, hashes: WordHash | None = None):
-        self.window = window
-        self.phrases: set[str] = set()
-        self.automaton = None
-        self.first: dict[int, int] = {}
-        self.hashes = WordHash() if hashes is None else hashes
-
-    def locate(self, text: str) -> list[int]:
+    """A batch's confirmed phrases as an automaton, and first documents of its windows."""
+
+    def __init__(self, window: int, phrase: int, phrases: list[bytes], firsts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        self.window, self.phrase = window, phrase
+        keys, docs, number = (np.concatenate(x) for x in zip(*firsts, strict=True)) if firsts else (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32))
+        order = np.argsort(keys)
+        self.keys, self.first = keys[order], docs[order]
+        # Words are bytes in the automaton's eyes: latin-1 maps each byte to a character.
+        self.automaton = ahocorasick.Automaton()
+        for i in np.unique(number).tolist():
+            said = f" {phrases[i].decode('latin-1')} "
+            self.automaton.add_word(said, len(said))
+        self.automaton.make_automaton()
+
+    def locate(self, words: list[bytes]) -> np.ndarray:
         """Word positions at which a phrase of the shard starts."""
-        if self.automaton is None:
-            self.automaton = ahocorasick.Automaton()
-            for p in self.phrases:
-                self.automaton.add_word(f" {p} ", len(p) + 2)
-            self.automaton.make_automaton()
-        if not self.phrases:
-            return []
-        framed = f" {text} "
-        begins = np.array([end - n + 1 for end, n in self.automaton.iter(framed)], np.int64)
-        if not len(begins):
+        if not len(self.keys):
+            return np.empty(0, np.int64)
+        framed = b" " + b" ".join(words) + b" "
+        begins = np.array([end - n + 1 for end, n in self.automaton.iter(framed.decode("latin-1"))], np.int64)
+        return np.unique(np.searchsorted(np.flatnonzero(np.frombuffer(framed, np.uint8) == 32), begins))
+
+    def repeated(self, doc: int, words: list[bytes], hashes: WordHash) -> list[tuple[int, int]]:
+        """Word ranges of the windows that an earlier document holds."""
+        at = self.locate(words)
+        keys = run_hashes(hashes.of(words), self.window)
+        if not len(at) or not len(keys):
             return []
-        spaces = np.flatnonzero(np.frombuffer(framed.encode("latin-1"), np.uint8) == 32)
-        return np.unique(np.searchsorted(spaces, begins)).tolist()
-
-    def judge(self, text: str, doc: int, phrase: int) -> tuple[list[int], int]:
-        """Windows of a stretch that an earlier document holds, and their number."""
-        words = text.encode("latin-1").split(b" ")
-        keys = run_hashes(self.hashes.of(words), self.window).tolist()
-        inside = set()
-        for p in self.locate(text):
-            inside.update(range(max(0, p + phrase - self.window), min(len(keys), p + 1)))
-        gone = []
-        for i in sorted(inside):
-            if self.first.setdefault(keys[i], doc) < doc:
-                gone.append(i)
-        return gone, len(keys)
-
-
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
-    """(doc, row, ranges, key): word ranges, as flat pairs, that earlier documents hold."""
-    spark = docs.sparkSession
-    base = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc"), text_key().alias("row"), F.col("text").cast("binary").alias("raw"))
-
-    def keys_of():
-        hashes = WordHash()
-        return lambda row: np.unique(run_hashes(hashes.of(plain_words(row["raw"])), window))
-
-    segments = segments_for(spark)
-    windows = total_chars(docs) // 6
-    bits = bits_for(windows)
-    seen, _ = log_filter(key_blobs(base.select("raw"), keys_of, segments), segments, bits, max(1, min(4, 4 * bits // max(1, windows))), first=2, top=2)
-    shared = spark.sparkContext.broadcast(seen)
-    shards = 8 * partitions(spark)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = WordHash(), shared.value
-        held: dict[tuple[int, bytes], tuple[list, list, list]] = {}
-        phrases: set[tuple[int, bytes]] = set()
-        size = places = 0
-
-        def rows() -> pa.RecordBatch:
-            cols: dict[str, list] = {f.name: [] for f in _SENT}
-
-            def put(*values) -> None:
-                for f, x in zip(_SENT, values, strict=True):
-                    cols[f.name].append(x)
-
-            for shard, p in phrases:
-                put(shard, 0, 0, p, None, None, None)
-            for (shard, text), (ds, rs, starts) in held.items():
-                put(shard, 1, min(ds), text, ds, rs, starts)
-            held.clear()
-            phrases.clear()
-            return rows_out(_SENT, cols)
-
-        for batch in batches:
-            for row in rows_in(batch):
-                words = plain_words(row["raw"])
-                if len(words) < window:
-                    continue
-                h = hashes.of(words)
-                passed = known.levels(run_hashes(h, window), 2) > 0
-                for a, b, p in stretches(words, h, passed, window, phrase):
-                    said = b" ".join(words[p : p + phrase])
-                    shard = xxhash.xxh3_64_intdigest(said) % shards
-                    text = b" ".join(words[a : b + window])
-                    if (shard, text) not in held:
-                        held[shard, text] = ([], [], [])
-                        size += len(text)
-                    ds, rs, starts = held[shard, text]
-                    ds.append(row["doc"])
-                    rs.append(row["row"])
-                    starts.append(a)
-                    phrases.add((shard, said))
-                    places += 1
-                if size > 1 << 23 or places > 1 << 18:
-                    yield rows()
-                    size = places = 0
-        yield rows()
-
-    # Words are bytes in the automaton's eyes: latin-1 maps each byte to a character.
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        shard, own = None, Shard(window, hashes)
-        for batch in batches:
-            cols: dict[str, list] = {f.name: [] for f in _FOUND}
-            for r in rows_in(batch):
-                if r["shard"] != shard:
-                    shard, own = r["shard"], Shard(window, hashes)
-                text = r["text"].decode("latin-1")
-                if r["kind"] == 0:
-                    own.phrases.add(text)
-                    continue
-                gone, n = own.judge(text, r["first"], phrase)
-                for doc, row, start in zip(r["docs"], r["rows"], r["starts"], strict=True):
-                    ranges = [(0, n - 1 + window)] if doc > r["first"] else [(i, i + window) for i in gone]
-                    if ranges:
-                        cols["doc"].append(doc)
-                        cols["row"].append(row)
-                        cols["ranges"].append([start + x for pair in joined(ranges) for x in pair])
-            yield rows_out(_FOUND, cols)
-
-    sent = base.mapInArrow(cut, "shard int, kind int, first long, text binary, docs array<long>, rows array<long>, starts array<long>")
-    met = sent.repartition(partitions(spark), "shard").sortWithinPartitions("shard", "kind", "first")
-    found = met.mapInArrow(stream, "doc long, row long, ranges array<long>")
-    out = materialize(found.groupBy("doc", "row").agg(F.flatten(F.collect_list("ranges")).alias("ranges")).withColumn("key", F.xxhash64("doc", "row")), "repeats", docs.count())
-    shared.destroy()
-    return out
+        about = np.zeros(len(keys) + 1, np.int64)
+        np.add.at(about, np.minimum(np.maximum(0, at + self.phrase - self.window), len(keys)), 1)
+        np.add.at(about, np.minimum(at + 1, len(keys)), -1)
+        near = np.flatnonzero(np.cumsum(about[:-1]) > 0)
+        known = np.minimum(np.searchsorted(self.keys, keys[near]), len(self.keys) - 1)
+        gone = near[(self.keys[known] == keys[near]) & (self.first[known] < doc)]
+        return joined([(i, i + self.window) for i in gone.tolist()])
 
 
 def joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -203,37 +179,89 @@ def joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def keep_words(raw: bytes | None, ranges) -> tuple[int, int, bytes]:
-    """Number of words, number removed, and the kept ones joined by one space."""
-    words = plain_words(raw)
-    gone = joined(list(zip(ranges[::2], ranges[1::2], strict=True))) if ranges is not None else []
+def without(words: list[bytes], gone: list[tuple[int, int]]) -> list[bytes]:
     kept, end = [], 0
     for a, b in gone:
         kept += words[end:a]
         end = b
-    kept += words[end:]
-    return len(words), len(words) - len(kept), b" ".join(kept)
+    return kept + words[end:]
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text) for every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    ranges = repeated_ranges(docs, window, phrase)
-    keyed = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), text_key().alias("row")).withColumn("rowkey", F.xxhash64(F.col("doc_id").cast("long"), "row"))
-    keyed = with_maybe(keyed, "rowkey", ranges, "key")
-    met = keyed.where("maybe").join(ranges.select(F.col("doc"), F.col("row").alias("row2"), "ranges"), (F.col("doc_id") == F.col("doc")) & (F.col("row") == F.col("row2")), "left").select("doc_id", "raw", "ranges")
-    every = met.unionByName(keyed.where(~F.col("maybe")).select("doc_id", "raw", F.lit(None).cast("array<long>").alias("ranges")))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spark = docs.sparkSession
+    base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw"))
+
+    def keys_of():
+        hashes = WordHash()
+        return lambda row: np.unique(run_hashes(hashes.of(plain_words(row["raw"])), window))
+
+    windows = total_chars(docs) // 6
+    bits, filtered = bits_for(windows), segments_for(spark)
+    blobs = key_blobs(base.where("doc is not null").select("raw"), keys_of, filtered)
+    seen, _ = log_filter(blobs, filtered, bits, max(1, min(4, 4 * bits // max(1, windows))), first=2, top=2)
+    shared = spark.sparkContext.broadcast(seen)
+    segments = max(filtered, 1 << (windows // SEGMENT).bit_length())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, known, notes = WordHash(), shared.value, Notes(segments)
+        for batch in batches:
+            cols: dict[str, list] = {c: [] for c in ("kind", "batch", "doc", "raw", "n_words", "digest")}
+            for doc, raw in zip(batch["doc"].to_pylist(), batch["raw"], strict=True):
+                raw = raw.as_py()
+                words = plain_words(raw)
+                at = np.empty(0, np.int64)
+                if doc is not None and len(words) >= window:
+                    h = hashes.of(words)
+                    keys = run_hashes(h, window)
+                    at = np.flatnonzero(known.levels(keys, 2))
+                if len(at):
+                    grams = run_hashes(h, phrase)
+                    notes.add(doc, words, keys[at], grams, window_minima(grams, at, window - phrase + 1), phrase)
+                    row = (_OPEN, notes.batch, doc, raw, None, None)
+                else:
+                    kept = b" ".join(words)
+                    row = (_DONE, None, doc, kept if texts else None, len(words), hashlib.sha256(kept).hexdigest())
+                for c, x in zip(cols, row, strict=True):
+                    cols[c].append(x)
+                if notes.windows > BATCH or notes.bytes > BATCH_BYTES:
+                    yield from notes.flush()
+            yield _rows(cols)
+        yield from notes.flush()
+
+    table = materialize(base.mapInArrow(cut, _CUT_SQL), "windows")
+    shared.destroy()
+
+    told = table.where(f"kind = {_NOTES}").select("seg", "batch", "a", "b", "c").groupBy("seg").applyInArrow(first_documents, "batch long, a binary, b binary, c binary")
+    none = F.lit(None)
+    firsts = told.select(F.lit(_FIRSTS).alias("kind"), "batch", none.cast("long").alias("doc"), none.cast("binary").alias("raw"), "a", "b", "c")
+    held = table.where(F.col("kind").isin(_OPEN, _PHRASES)).select("kind", "batch", "doc", "raw", "a", "b", "c").unionByName(firsts)
+    met = held.repartition(partitions(spark), "batch").sortWithinPartitions("batch", F.desc("kind"))
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, current, phrases, told, shard = WordHash(), None, [], [], None
         for batch in batches:
-            n, gone, digest, kept = [], [], [], []
-            for raw, r in zip(batch["raw"].to_pylist(), batch["ranges"].to_pylist(), strict=True):
-                a, b, c = keep_words(raw, r)
-                n.append(a)
-                gone.append(b)
-                digest.append(hashlib.sha256(c).hexdigest())
-                kept.append(c.decode() if texts else None)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
-
-    out = every.mapInArrow(scan, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+            docs, cols = [], {c: [] for c in _OUT}
+            for i in range(batch.num_rows):
+                r = {c: x[i] for c, x in zip(batch.schema.names, batch.columns, strict=True)}
+                if (number := r["batch"].as_py()) != current:
+                    current, phrases, told, shard = number, [], [], None
+                kind = r["kind"].as_py()
+                if kind == _FIRSTS:
+                    told.append(tuple(np.frombuffer(r[c].as_py(), t) for c, t in (("a", np.uint64), ("b", np.int64), ("c", np.uint32))))
+                elif kind == _PHRASES:
+                    phrases = r["a"].as_py().split(b"\n")
+                else:
+                    shard = shard or Shard(window, phrase, phrases, told)
+                    words, doc = plain_words(r["raw"].as_py()), r["doc"].as_py()
+                    left = without(words, shard.repeated(doc, words, hashes))
+                    kept = b" ".join(left)
+                    docs.append(doc)
+                    for c, x in zip(_OUT, (len(words), len(words) - len(left), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None), strict=True):
+                        cols[c].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), *[pa.array(cols[c], t) for c, t in _OUT.items()]], ["doc_id", *_OUT])
+
+    judged = met.mapInArrow(stream, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    done = table.where(f"kind = {_DONE}").select(F.col("doc").alias("doc_id"), "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256"), F.col("raw").cast("string").alias("kept_text"))
+    out = judged.unionByName(done).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return out if texts else out.drop("kept_text")

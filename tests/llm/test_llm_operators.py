@@ -407,6 +407,35 @@ def test_repeats(docs, rows, window, phrase):
     assert any(w[1] for w in want.values())
 
 
+def test_the_automaton_finds_what_goes():
+    """Removals come through the automaton: one that finds nothing leaves all words."""
+    words = b"a b c d e f g h i j".split()
+    from quire.llm._words import WordHash, run_hashes
+
+    hashes = WordHash()
+    keys = run_hashes(hashes.of(words), 5)
+    firsts = [(keys, np.full(6, 3), np.array([0, 0, 0, 1, 1, 1], np.uint32))]
+    shard = phrases.Shard(5, 3, [b"c d e", b"g h i"], firsts)
+    assert shard.locate(words).tolist() == [2, 6]
+    assert shard.repeated(7, words, hashes) == [(0, 10)] and shard.repeated(3, words, hashes) == []
+    # The second phrase is not confirmed: windows with the first alone go.
+    shard = phrases.Shard(5, 3, [b"c d e", b"g h i"], [(keys[:3], np.full(3, 3), np.zeros(3, np.uint32))])
+    assert shard.locate(words).tolist() == [2] and shard.repeated(7, words, hashes) == [(0, 7)]
+    shard.locate = lambda words: np.empty(0, np.int64)
+    assert shard.repeated(7, words, hashes) == []
+
+
+@pytest.mark.parametrize("texts", [False, True])
+def test_repeats_in_many_batches(docs, rows, texts, monkeypatch):
+    for name, value in (("BATCH", 40), ("SEGMENT", 8)):
+        monkeypatch.setattr(phrases, name, value)
+    want = brute.without_repeats([(r[0], r[1]) for r in rows], 9)
+    got = phrases.drop_repeats(docs, 9, 3, texts).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want
+    if texts:
+        assert all(brute.sha(r["kept_text"]) == r["kept_sha256"] for r in got)
+
+
 # ---- odd rows, empty tables -------------------------------------------------------
 
 RUNS = {
