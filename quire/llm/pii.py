@@ -2,21 +2,23 @@
 
 Base spans (e-mail, IP address, payment card, phone number) are found by their
 patterns.  Their values are the protected entities.  Over the whole corpus the
-operator estimates how much each term tells about each entity: with N documents,
+operator estimates how much each term tells about each entity: with N rows,
 n(e), n(t) and n(e, t) of them holding the entity, the term, and the term within
 ``reach`` words of the entity,
 
     PMI(e; t) = log2(N * n(e, t) / (n(e) * n(t))),    IC(e) = log2(N / n(e)).
 
-A term with PMI(e; t) >= IC(e) / ``alpha``, seen beside the entity in ``support``
-different texts or more, exceeds the disclosure threshold: wherever a document
-holds the entity, the term's occurrences become spans too.  A term is generalised
+A term with PMI(e; t) >= IC(e) / ``alpha``, seen beside the entity in two different
+texts or more, exceeds the disclosure threshold: wherever a document holds the entity,
+the term's occurrences become spans too.  A term is generalised
 to its shape (``Aa``, ``a``, ``9``, ``a9``) as long as the shape itself stays
 under the threshold for that entity, else it is removed.
 
-Texts count once each, so copies of a text support nothing.  Terms counted over
-all documents are only those near some entity often enough; a fixed-size filter
-(:func:`with_maybe`) picks them and the counts behind it are exact.
+Copies of one text are one text, so they alone support nothing.  A worker adds up what
+it sees of an entity and a term (rows, least and greatest hash of their texts) before it
+is sent, so no footer address is hot.  Terms counted over all documents are only those
+near some entity often enough; a fixed-size filter (:func:`with_maybe`) picks them and
+the counts behind it are exact.
 
 Results for odd rows: null and empty texts have no spans (their digest is that of
 the empty string); rows that repeat doc_id and text give equal rows; null ids
@@ -42,7 +44,9 @@ from ._store import materialize, packed, text_key, unpacked, with_maybe
 from ._words import rows_out
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, SUPPORT, ALPHA, TERM_BITS = 8, 2, 1.25, 1 << 23
+REACH, ALPHA, TERM_BITS = 8, 1.25, 1 << 23
+#: Pairs of entity and term that are broadcast at most, and parts of an entity's rows beyond.
+FLAGGED, SALTS = 100_000, 64
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -132,15 +136,21 @@ def _mark(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, alpha: float = ALPHA) -> tuple[DataFrame, DataFrame]:
+def disclosing_terms(docs: DataFrame, reach: int = REACH, alpha: float = ALPHA) -> tuple[DataFrame, DataFrame]:
     """(mentions, flagged): every row's entities, and for each entity the terms
     that exceed the threshold with what becomes of them (1 generalise, 2 remove)."""
     base = docs.select("doc_id", text_key().alias("row"), F.col("text"))
-    schema = pa.schema([("e", pa.int64()), ("term", pa.string()), ("row", pa.int64()), ("doc", pa.int64())])
+    schema = pa.schema([("e", pa.int64()), ("term", pa.string()), ("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("doc", pa.int64())])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, str], tuple[int, int, int]] = {}
         for batch in batches:
             cols: dict[str, list] = {f.name: [] for f in schema}
+
+            def put(*values) -> None:
+                for f, x in zip(schema, values, strict=True):
+                    cols[f.name].append(x)
+
             for text, row, doc in zip(batch["text"].to_pylist(), batch["row"].to_pylist(), batch["k"].to_pylist(), strict=True):
                 if not text:
                     continue
@@ -150,16 +160,24 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
                     once.update((e, t) for t in terms)
                     once.update((e, f"\x00{shape(t)}") for t in terms)
                 for e, t in once:
-                    for k, v in (("e", e), ("term", t), ("row", row), ("doc", doc)):
-                        cols[k].append(v)
+                    if t is None:
+                        put(e, None, 1, None, None, doc)
+                    else:
+                        n, lo, hi = sums.get((e, t), (0, row, row))
+                        sums[e, t] = (n + 1, min(lo, row), max(hi, row))
+            if len(sums) > 1 << 17:
+                for (e, t), (n, lo, hi) in sums.items():
+                    put(e, t, n, lo, hi, None)
+                sums.clear()
             yield rows_out(schema, cols)
+        cols = {"e": [e for e, _ in sums], "term": [t for _, t in sums], "doc": [None] * len(sums)}
+        yield rows_out(schema, cols | {c: [x[i] for x in sums.values()] for i, c in enumerate(("n", "lo", "hi"))})
 
-    seen = materialize(base.select("text", "row", F.xxhash64("doc_id", "row").alias("k")).mapInArrow(near, "e long, term string, row long, doc long"), "mentions")
-    entities = seen.where("term is null").groupBy("e", "doc").count().groupBy("e").agg(F.count("*").alias("n_e"))
-    texts = seen.where("term is not null").groupBy("e", "term", "row").count().groupBy("e", "term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support)
-    together = seen.join(texts, ["e", "term"]).groupBy("e", "term", "texts", "doc").count().groupBy("e", "term").agg(F.count("*").alias("n_et"))
+    seen = materialize(base.select("text", "row", F.xxhash64("doc_id", "row").alias("k")).mapInArrow(near, "e long, term string, n long, lo long, hi long, doc long"), "mentions")
     n_seen = seen.count()
-    together = materialize(together.join(entities, "e"), "together", n_seen)
+    entities = seen.where("term is null").groupBy("e").agg(F.count("*").alias("n_e"))
+    together = seen.where("term is not null").groupBy("e", "term").agg(F.sum("n").alias("n_et"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
+    together = materialize(together.select("e", "term", "n_et").join(entities, "e"), "together", n_seen)
 
     # n(t), counted over all documents for the terms in question.
     wanted = together.select(F.xxhash64("term").alias("k"))
@@ -186,7 +204,7 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
 
     every = base.select("text").mapInArrow(count, "term string, n long").withColumn("k", F.xxhash64("term"))
     counted = with_maybe(every, "k", wanted, "k", TERM_BITS).where("maybe").groupBy("term").agg(F.sum("n").alias("n_t"))
-    n = docs.count()
+    n = docs.count()  # rows, as are n_e, n_t and n_et
     scored = together.join(counted, "term").withColumn("pmi", F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))))
     over = materialize(scored.where(F.col("pmi") >= F.log2(F.lit(float(n)) / F.col("n_e")) / alpha).where(F.lit(float(n)) > F.col("n_e")).select("e", "term"), "over", n_seen)
     shapes = over.where(F.col("term").startswith("\x00")).groupBy("e").agg(F.collect_set("term").alias("shapes"))
@@ -197,7 +215,13 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, support: int = SUPPORT
 def row_terms(docs: DataFrame, **knobs) -> DataFrame:
     """key (of doc_id and text), terms, shapes: what to hide beside base spans."""
     mentions, flagged = disclosing_terms(docs, **knobs)
-    got = mentions.join(flagged, "e").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("shapes", F.array().cast("array<string>"))))).alias("shapes"))
+    told = flagged.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+    if told <= FLAGGED:
+        met = mentions.join(F.broadcast(flagged), "e")
+    else:  # rows of one entity meet its terms in many tasks
+        parts = flagged.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = mentions.withColumn("salt", F.pmod("doc", F.lit(SALTS))).join(parts, ["e", "salt"])
+    got = met.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"), F.array_distinct(F.flatten(F.collect_list(F.coalesce("shapes", F.array().cast("array<string>"))))).alias("shapes"))
     return materialize(got.withColumnRenamed("doc", "key2"), "terms", docs.count())
 
 

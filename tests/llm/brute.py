@@ -6,7 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from math import log10
+from math import log2, log10
 
 import xxhash
 
@@ -43,6 +43,42 @@ def personal(text: str | None) -> dict[str, list[tuple[int, int]]]:
     }
 
 
+def terms_outside(text: str, spans: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    found = [(m[0].lower(), *m.span()) for m in re.finditer(r"\w+", text) if len(m[0]) > 2]
+    return [(t, a, b) for t, a, b in found if not any(a < y and x < b for x, y in spans)]
+
+
+def disclosed(rows: list[tuple[int, str | None]], reach: int = 8, alpha: float = 1.25) -> list[list[str]]:
+    """For each row its spans: the base ones, then terms that give an entity away."""
+    texts = [t or "" for _, t in rows]
+    found = [personal(t) for t in texts]
+    entities: list[list[tuple[tuple[str, str], int, int]]] = []
+    for t, kinds in zip(texts, found, strict=True):
+        name = lambda k, v: (k, v.lower() if k in ("email", "ip") else digits(v))
+        entities.append([(name(k, t[a:b]), a, b) for k, s in kinds.items() for a, b in s])
+    outside = [terms_outside(t, [(a, b) for _, a, b in e]) for t, e in zip(texts, entities, strict=True)]
+    n_e, n_et, n_t, seen = Counter(), Counter(), Counter(), {}
+    for t, ents, terms in zip(texts, entities, outside, strict=True):
+        n_t.update(set(re.findall(r"\w+", t.lower())))
+        n_e.update({e for e, _, _ in ents})
+        near = set()
+        for e, a, b in ents:
+            before, after = [x for x, s, _ in terms if s < a][-reach:], [x for x, s, _ in terms if s >= b][:reach]
+            near |= {(e, x) for x in before + after}
+        n_et.update(near)
+        for pair in near:
+            seen.setdefault(pair, set()).add(t)
+    told = {}
+    for (e, x), n in n_et.items():
+        if len(seen[e, x]) > 1 and n_e[e] < len(rows) and log2(len(rows) * n / (n_e[e] * n_t[x])) >= log2(len(rows) / n_e[e]) / alpha:
+            told.setdefault(e, set()).add(x)
+    out = []
+    for kinds, ents, terms in zip(found, entities, outside, strict=True):
+        hide = set().union(*[told.get(e, set()) for e, _, _ in ents])
+        out.append([f"{k}:{a}:{b}" for k, s in kinds.items() for a, b in s] + [f"term:{a}:{b}" for x, a, b in terms if x in hide])
+    return out
+
+
 def shingles(text: str | None, n: int) -> frozenset:
     w = SPACE.findall((text or "").translate(AZ))
     if not w:

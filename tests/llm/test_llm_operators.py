@@ -65,6 +65,19 @@ def test_one_footer_under_different_texts_discloses(spark):
     assert clean[200]["text"] == "lone copy vendrell [EMAIL]"  # copies of one text support nothing
 
 
+@pytest.mark.parametrize("flagged", [100_000, 0])
+def test_disclosing_terms_against_all_pairs(spark, rows, flagged, monkeypatch):
+    monkeypatch.setattr(pii, "FLAGGED", flagged)
+    foot = "this note was sent by our friend zorblax boss@corp.example or +49 (30) 123-4567"
+    every = [(r[0], r[1]) for r in rows] + [(10_000 + i, f"body{i} {'word ' * (i % 7)}other{i} {foot}") for i in range(40)] + [(None, foot), (None, foot), (10_000, None)]
+    every += [(20_000 + i, f"note sent {i} kindly to house of +4930{1234567 + i % 2} near tower{i % 2} ok") for i in range(12)]
+    got = pii.find_personal(spark.createDataFrame(every, "doc_id bigint, text string").repartition(3)).collect()
+    order = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    want = sorted(((d, ",".join(s)) for (d, _), s in zip(every, brute.disclosed(every), strict=True)), key=order)
+    assert sorted(((r["doc_id"], r["spans"]) for r in got), key=order) == want
+    assert sum("term" in s for _, s in want) > 40
+
+
 # ---- 2: n-gram Jaccard join -------------------------------------------------------
 
 
