@@ -86,6 +86,51 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_hit, 0) AS n_
 FROM d LEFT JOIN k USING (r) LEFT JOIN m USING (r)
 """
 
-ORACLES: dict[str, str] = {"op4_decontaminate": _OP4, "op6_sharding": sharding.oracle()}
+#: Classes of equal sets, all pairs of classes with a common shingle, and what links reach.
+_OP2 = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+    SELECT DISTINCT r, md5(array_to_string(w[p : p + least(len(w), 4) - 1], ' ')) AS g
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p FROM d WHERE len(w) > 0)
+), e AS (
+    SELECT r, count(*) AS n, md5(string_agg(g, '' ORDER BY g)) AS c FROM s GROUP BY r
+), k AS MATERIALIZED (
+    SELECT c, min(r) AS r, min(n) AS n, min(doc_id) AS class_id FROM e JOIN d USING (r) GROUP BY c
+), t AS MATERIALIZED (
+    SELECT k.c, k.n, s.g FROM k JOIN s USING (r)
+), l AS MATERIALIZED (
+    SELECT a.c AS a, b.c AS b FROM t a JOIN t b ON a.g = b.g AND a.c <> b.c
+    GROUP BY a.c, b.c HAVING 100 * count(*) >= 85 * (min(a.n) + min(b.n) - count(*))
+), x AS (
+    SELECT c, class_id AS m FROM k
+    UNION
+    SELECT l.b, x.m FROM x JOIN l ON l.a = x.c
+), m AS (
+    SELECT c, min(m) AS component_id FROM x GROUP BY c
+)
+SELECT d.doc_id, coalesce(e.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(k.class_id, d.doc_id) AS class_id
+FROM d LEFT JOIN e USING (r) LEFT JOIN k USING (c) LEFT JOIN m USING (c)
+"""
+
+#: Windows of 50 words and the least id that holds each.
+_OP10 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+    SELECT r, doc_id, p, sha256(array_to_string(w[p : p + 49], ' ')) AS s FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE doc_id IS NOT NULL AND len(w) >= 50)
+), f AS (
+    SELECT s, min(doc_id) AS first FROM p GROUP BY s HAVING min(doc_id) < max(doc_id)
+), g AS (
+    SELECT r, list(DISTINCT q) AS gone FROM (SELECT r, unnest(range(p, p + 50)) AS q FROM p JOIN f USING (s) WHERE first < doc_id) GROUP BY r
+), k AS (
+    SELECT d.doc_id, d.w, coalesce(len(gone), 0) AS n,
+           CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE (SELECT coalesce(string_agg(w[i], ' ' ORDER BY i), '') FROM (SELECT unnest(range(1, len(w) + 1)) AS i) WHERE NOT list_contains(gone, i)) END AS kept
+    FROM d LEFT JOIN g USING (r)
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed, sha256(kept) AS kept_sha256 FROM k
+"""
+
+ORACLES: dict[str, str] = {"op2_ngram_join": _OP2, "op10_phrases": _OP10, "op4_decontaminate": _OP4, "op6_sharding": sharding.oracle()}
 
 
