@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +33,10 @@ def bits_for(keys: int, most: int | None = MAX_BITS) -> int:
     return bits if most is None else min(most, bits)
 
 
-def segments_for(spark: SparkSession) -> int:
-    """Enough segments for a task each, growing with the session's partitions."""
-    return 1 << min(14, max(6, (4 * partitions(spark) - 1).bit_length()))
+def segments_for(spark: SparkSession, keys: int = 0) -> int:
+    """Enough segments for a task each, growing with the session's partitions, and for
+    some 2**22 of the ``keys`` each, so that a segment fits a task at any size."""
+    return 1 << max(min(14, max(6, (4 * partitions(spark) - 1).bit_length())), (keys >> 22).bit_length())
 
 
 def pack(keys: np.ndarray, counts: np.ndarray, segments: int) -> pa.RecordBatch:
@@ -139,16 +139,16 @@ def filter_slices(blobs: DataFrame, segments: int, bits: int, hashes: int = 1, f
     empty = LogFilter(np.zeros(0, np.uint8), segments, hashes, top)
     empty.slice = max(8, bits) // segments
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = unpack(pdf["keys"], pdf["more"])
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        keys, counts = unpack((x.as_buffer() for x in rows["keys"]), (x.as_buffer() for x in rows["more"]))
         mine = np.zeros(empty.slice, np.uint8)
         level = np.minimum(top, np.floor(np.log2(counts)).astype(np.int64) + 1)
         for x in range(first, int(level.max()) + 1):
             for slot in empty._slots(keys[level >= x], x):
                 mine[slot] = 1
-        return pd.DataFrame({"seg": [int(pdf["seg"].iloc[0])], "bits": [np.packbits(mine, bitorder="little").tobytes()], "n": [len(keys)], "used": [int(mine.sum())]})
+        return pa.table({"seg": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(mine, bitorder="little").tobytes()], pa.binary()), "n": pa.array([len(keys)], pa.int64()), "used": pa.array([int(mine.sum())], pa.int64())})
 
-    return blobs.groupBy("seg").applyInPandas(build, "seg int, bits binary, n long, used long")
+    return blobs.groupBy("seg").applyInArrow(build, "seg int, bits binary, n long, used long")
 
 
 def gathered(slices: DataFrame, segments: int, bits: int, hashes: int = 1, top: int = 24, start: int = 0, stop: int | None = None) -> tuple[LogFilter, dict]:

@@ -197,7 +197,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
         return lambda row: np.unique(run_hashes(hashes.of(plain_words(row["raw"])), window))
 
     windows = total_chars(docs) // 6
-    bits, filtered = bits_for(windows), segments_for(spark)
+    bits, filtered = bits_for(windows), segments_for(spark, windows)
     blobs = key_blobs(base.where("doc is not null").select("raw"), keys_of, filtered)
     seen, _ = log_filter(blobs, filtered, bits, max(1, min(4, 4 * bits // max(1, windows))), first=2, top=2)
     shared = spark.sparkContext.broadcast(seen)

@@ -97,6 +97,13 @@ def test_rows_of_one_id_and_rows_without_an_id_are_searched_by_their_texts(spark
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [(0, 0), (0, 0), (0, 3), (3, 3), (5, 5), (5, 5), (9, 5), (10, 5)]
 
 
+def test_of_rows_with_one_id_only_near_copies_go(spark):
+    text = lambda x, w: " ".join([f"{x}{i}" for i in range(100)] + [w])
+    rows = [(5, text("a", "x"), 1), (5, text("b", "x"), 1), (5, text("b", "x"), 1), (9, text("a", "y"), 1), (None, text("b", "y"), 1), (None, text("c", "x"), 1), (7, None, 1), (7, None, 1)]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string, n bigint")).collect()
+    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:1]) for r in kept) == [(0, "c"), (5, "a"), (5, "b"), (7, ""), (7, "")]
+
+
 def test_divide_skip_finds_all_with_enough_overlap():
     r = random.Random(3)
     for _ in range(60):
@@ -491,7 +498,7 @@ def test_results_for_odd_rows(odd, items):
     assert [(r["n_shingles"], r["component_id"]) for r in one(j, 1_000_002)] == [(0, 1_000_002)]
     assert sorted(r["n_shingles"] for r in one(j, 1_000_004)) == [1, 1, 2]
     kept = ngram_join.one_of_each(odd)
-    assert len(one(kept, 1_000_004)) == 1 and len(one(kept, None)) == 1 and len(one(kept, 1_000_001)) == 1
+    assert len(one(kept, 1_000_004)) == 2 and len(one(kept, None)) == 1 and len(one(kept, 1_000_001)) == 1
     r = one(phrases.drop_repeats(odd), 1_000_007)[0]
     assert (r["n_words"], r["n_removed"]) == (60_000, 0)
     f = one(fingerprint.fingerprints(odd), 1_000_002)[0]
