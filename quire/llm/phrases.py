@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ WINDOW, PHRASE = 50, 8
 BATCH, BATCH_BYTES, SEGMENT = 1 << 18, 1 << 23, 1 << 20
 _DONE, _OPEN, _NOTES, _PHRASES, _FIRSTS = range(5)
 _MANY = np.uint32(1 << 31)  # the batch holds the window in several documents
-#: A batch's rows, notes (a: windows, b: least ids, c: numbers of phrases) and phrases.
+#: A batch's rows (raw is packed), notes (a: windows, b: least ids, c: numbers of phrases) and phrases.
 _CUT = {"kind": pa.int32(), "batch": pa.int64(), "seg": pa.int32(), "doc": pa.int64(), "raw": pa.binary(), "n_words": pa.int64(), "digest": pa.string(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary()}
 _CUT_SQL = "kind int, batch long, seg int, doc long, raw binary, n_words long, digest string, a binary, b binary, c binary"
 _OUT = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept_text": pa.string()}
@@ -205,6 +206,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known, notes = WordHash(), shared.value, Notes(segments)
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             cols: dict[str, list] = {c: [] for c in ("kind", "batch", "doc", "raw", "n_words", "digest")}
             for doc, raw in zip(batch["doc"].to_pylist(), batch["raw"], strict=True):
@@ -218,7 +220,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
                 if len(at):
                     grams = run_hashes(h, phrase)
                     notes.add(doc, words, keys[at], grams, window_minima(grams, at, window - phrase + 1), phrase)
-                    row = (_OPEN, notes.batch, doc, raw, None, None)
+                    row = (_OPEN, notes.batch, doc, pack(raw), None, None)
                 else:
                     kept = b" ".join(words)
                     row = (_DONE, None, doc, kept if texts else None, len(words), hashlib.sha256(kept).hexdigest())
@@ -240,6 +242,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, current, phrases, told, shard = WordHash(), None, [], [], None
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             docs, cols = [], {c: [] for c in _OUT}
             for i in range(batch.num_rows):
@@ -253,7 +256,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
                     phrases = r["a"].as_py().split(b"\n")
                 else:
                     shard = shard or Shard(window, phrase, phrases, told)
-                    words, doc = plain_words(r["raw"].as_py()), r["doc"].as_py()
+                    words, doc = plain_words(unpack(r["raw"].as_py())), r["doc"].as_py()
                     left = without(words, shard.repeated(doc, words, hashes))
                     kept = b" ".join(left)
                     docs.append(doc)
