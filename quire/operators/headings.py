@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 from ..functions import text as T
 from ..functions.frames import with_once
+from ..sources import files
 
 MAX_LEVEL = 5
 
@@ -156,3 +157,18 @@ def chapters_without_headings(blocks: DataFrame) -> DataFrame:
     """doc_id, chapter, error for chapters that hold no heading: an error row each,
     where others go on."""
     return blocks.groupBy("doc_id", "chapter").agg(F.max(F.col("type") == "heading").alias("has")).where("not has").select("doc_id", "chapter", F.lit("no headings").alias("error"))
+
+
+def requested_chapters(chapters: DataFrame, blocks: DataFrame, names: list[str]) -> DataFrame:
+    """doc_id, requested, stem, n_headings, error: what becomes of every chapter asked
+    for in every document.
+
+    ``chapters``: doc_id, stem of the files that exist; ``blocks``: doc_id, stem, type.
+    A name stands for the first stem that contains it.  A name without a file is one row
+    with an error, and so is a file without headings; the others go on.
+    """
+    found = files.find_by_keyword(chapters, "stem", names).select("doc_id", F.col("keyword").alias("requested"), F.col("found").alias("stem"))
+    counts = blocks.groupBy("doc_id", "stem").agg(F.count_if(F.col("type") == "heading").alias("n_headings"))
+    n = F.coalesce("n_headings", F.lit(0))
+    error = F.when(F.col("stem").isNull(), "no chapter file").when(n == 0, "no headings")
+    return found.join(counts, ["doc_id", "stem"], "left").select("doc_id", "requested", "stem", n.alias("n_headings"), error.alias("error"))

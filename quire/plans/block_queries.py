@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import assets, blocks, cleanup, headings, layout, sections
+from ..sources import files
 from . import bridge as V
 
 QUERIES: dict = {}
@@ -175,11 +176,13 @@ def page_reset_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every heading block seen by the layout two pages on, and a box by arithmetic."""
-    b = V.blocks(spark, sf_dir).where("type = 'heading' and pos % 4 <> 1")
+    """Every block seen by the layout up to a page on, with a box by arithmetic; it takes
+    some headings, and all that is none, for text."""
+    b = V.blocks(spark, sf_dir)
+    label = F.when((F.col("type") == "heading") & (F.col("pos") % 4 != 1), "section_header").otherwise("text")
     t = F.expr("cast(100 + (pos * 37) % 700 as double)")
     bbox = F.struct(F.expr("cast(pos % 300 as double)").alias("l"), t.alias("t"), F.expr("cast(pos % 300 + 100 as double)").alias("r"), (t - 12).alias("b"))
-    rows = b.select("doc_id", (F.col("page") + F.col("pos") % 2).cast("int").alias("page"), F.col("pos").alias("text_ord"), F.lit("section_header").alias("label"), F.concat(F.lit("**"), F.col("content"), F.lit("**")).alias("text"), bbox.alias("bbox"))
+    rows = b.select("doc_id", (F.col("page") + F.col("pos") % 2).cast("int").alias("page"), F.col("pos").alias("text_ord"), label.alias("label"), F.concat(F.lit("**"), F.col("content"), F.lit("**")).alias("text"), bbox.alias("bbox"))
     return headings.layout_order(rows)
 
 
@@ -255,3 +258,19 @@ def heading_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chapters_without_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.blocks(spark, sf_dir).select("doc_id", F.concat(F.lit("p"), F.col("page").cast("string")).alias("chapter"), "type")
     return headings.chapters_without_headings(rows)
+
+
+@register(f"""WITH {V.SQL_BLOCKS}, st AS (SELECT doc_id, 'chapter_' || page AS stem, count(*) FILTER (WHERE type = 'heading') AS n FROM blocks GROUP BY ALL),
+    fo AS (SELECT a.doc_id, a.requested, min(st.stem) AS stem FROM (SELECT doc_id, unnest(['Chapter_1', 'chapter_3', 'methods']) AS requested FROM (SELECT DISTINCT doc_id FROM blocks)) a
+        LEFT JOIN st ON st.doc_id = a.doc_id AND contains(st.stem, lower(a.requested)) GROUP BY ALL)
+    SELECT fo.doc_id, requested, fo.stem, coalesce(n, 0) AS n_headings, CASE WHEN fo.stem IS NULL THEN 'no chapter file' WHEN n = 0 THEN 'no headings' END AS error FROM fo LEFT JOIN st ON st.doc_id = fo.doc_id AND st.stem = fo.stem""")
+def requested_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = V.blocks(spark, sf_dir).select("doc_id", F.concat(F.lit("chapter_"), F.col("page").cast("string")).alias("stem"), "type")
+    return headings.requested_chapters(rows.select("doc_id", "stem").distinct(), rows, ["Chapter_1", "chapter_3", "methods"])
+
+
+@register(f"""WITH {V.SQL_BLOCKS}, pg AS (SELECT doc_id, page, max(page) OVER (PARTITION BY doc_id) AS last FROM (SELECT DISTINCT doc_id, page FROM blocks))
+    SELECT doc_id, page, NULL AS error FROM pg WHERE last >= 10 AND page BETWEEN 2 AND 10
+    UNION ALL SELECT DISTINCT doc_id, NULL, 'page 10 is beyond the last page ' || last FROM pg WHERE last < 10""")
+def page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.page_range(V.blocks(spark, sf_dir).select("doc_id", "page").distinct(), 2, 10)

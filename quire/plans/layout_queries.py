@@ -145,13 +145,13 @@ def picture_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pictures.page_stats(V.pictures(spark, sf_dir))
 
 
-@register(r"""WITH k AS (SELECT doc_id AS d, doc_id // 12 AS doc_id, CAST(doc_id % 12 AS INTEGER) AS ord, left(text, 60) AS s FROM documents), x AS (SELECT *, CASE d % 3 WHEN 0 THEN 'Figure ' || (d % 5) || '. ' || s WHEN 1 THEN s ELSE 'Fig ' || (d % 7) END AS txt FROM k),
+@register(r"""WITH k AS (SELECT doc_id AS d, doc_id // 12 AS doc_id, CAST(doc_id % 12 AS INTEGER) AS ord, coalesce(text, '') AS s FROM documents), x AS (SELECT *, CASE d % 3 WHEN 0 THEN 'Figure ' || (d % 5) || '. ' || s WHEN 1 THEN s ELSE 'Fig ' || (d % 7) END AS txt FROM k),
     ch AS (SELECT doc_id, ord, unnest([(ord + 1) % 12, (ord + 5) % 12]) AS child, unnest([0, 1]) AS child_ord FROM k), m AS (SELECT ch.doc_id, ch.ord, ch.child_ord, x.d, TRY_CAST(nullif(regexp_extract(x.txt, '^(?:Figure|Fig) ([0-9]+)', 1), '') AS INTEGER) AS n FROM ch JOIN x ON x.doc_id = ch.doc_id AND x.ord = ch.child)
     SELECT doc_id, ord, n AS caption_number FROM m WHERE n IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, ord ORDER BY child_ord) = 1""")
 def linked_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     ord_ = F.expr("cast(doc_id % 12 as int)")
-    s = F.substring("text", 1, 60)
+    s = F.coalesce("text", F.lit(""))
     txt = F.when(d % 3 == 0, F.concat(F.lit("Figure "), (d % 5).cast("string"), F.lit(". "), s)).when(d % 3 == 1, s).otherwise(F.concat(F.lit("Fig "), (d % 7).cast("string")))
     rows = V.table(spark, sf_dir, "documents")
     texts = rows.select(F.expr("doc_id div 12").alias("doc_id"), F.lit(1).alias("page"), ord_.alias("ord"), F.concat(F.lit("#/texts/"), ord_.cast("string")).alias("self_ref"), txt.alias("text"))

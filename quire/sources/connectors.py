@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import recall
+from .files import LEGACY, legacy_columns
+from .sinks import safe_name
 
 #: (list of PNG bytes) -> markdown
 Extractor = Callable[[list[bytes]], str]
@@ -52,6 +54,75 @@ def read_pages(spark: SparkSession, path: str, renderer: Renderer = render_pdf)
     return files.mapInPandas(scan, "doc_id string, page long, png binary, text string, error string")
 
 
+#: (bytes of a PDF file, [(page, (x0, y0, x1, y1))]) -> bytes of a PDF file
+Cropper = Callable[[bytes, list[tuple[int, tuple[float, float, float, float]]]], bytes]
+#: bytes of a PDF file -> JSON of the older document shape
+Parser = Callable[[bytes], str]
+
+
+def crop_pdf(content: bytes, plan: list[tuple[int, tuple[float, float, float, float]]]) -> bytes:
+    """The default cropper, where its library is installed: one page for each rectangle."""
+    try:
+        import fitz
+    except ImportError as e:
+        raise RuntimeError("cropping PDF files needs the PyMuPDF package") from e
+    with fitz.open(stream=content, filetype="pdf") as pdf, fitz.open() as out:
+        for page, rect in plan:
+            out.insert_pdf(pdf, from_page=page - 1, to_page=page - 1)
+            out[-1].set_cropbox(fitz.Rect(*rect) & out[-1].rect)
+        return out.tobytes()
+
+
+def crop_chapters(plan: DataFrame, pdfs: DataFrame, cropper: Cropper = crop_pdf) -> DataFrame:
+    """doc_id, section, path, content, error: a cropped PDF for each chapter of a crop
+    plan (:func:`quire.operators.cropping.crop_plan`).  ``pdfs``: doc_id, content.
+    Errors of the plan and of the cropper, pages that the file lacks among them, are
+    rows without content."""
+    name = F.concat(F.col("doc_id").cast("string"), F.lit("/"), safe_name(F.col("section")), F.lit(".pdf"))
+    rect = F.array(*[F.col(f"rect.{c}") for c in ("x0", "y0", "x1", "y1")])
+    step = F.struct("out_ord", F.col("src_page").alias("page"), rect.alias("rect"))
+    steps = plan.where("error is null").groupBy("doc_id", "section").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    met = steps.join(pdfs.select("doc_id", "content"), "doc_id", "left").withColumn("path", name)
+    kind = plan.schema["doc_id"].dataType.simpleString()
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, section, path, content, todo in zip(batch["doc_id"], batch["section"], batch["path"], batch["content"], batch["steps"], strict=True):
+                try:
+                    if content is None:
+                        raise FileNotFoundError("no PDF file")
+                    rows.append((doc, section, path, cropper(bytes(content), [(int(s["page"]), tuple(s["rect"])) for s in todo]), None))
+                except Exception as e:  # one bad chapter is one row
+                    rows.append((doc, section, path, None, repr(e)[:500]))
+            yield pd.DataFrame(rows, columns=["doc_id", "section", "path", "content", "error"])
+
+    made = met.select("doc_id", "section", "path", "content", "steps").mapInPandas(scan, f"doc_id {kind}, section string, path string, content binary, error string")
+    failed = plan.where("error is not null").select("doc_id", "section", name.alias("path"), F.lit(None).cast("binary").alias("content"), "error")
+    return made.unionByName(failed)
+
+
+def parse_legacy(pdfs: DataFrame, parser: Parser) -> DataFrame:
+    """doc_id, pos, type, id, page, bbox, content, source, error: PDF files (doc_id,
+    content) through an older parser.  It is called once a file and a worker keeps it, so
+    one that starts a process of its own can keep that running; a file that fails is one
+    row with its error."""
+    kind = pdfs.schema["doc_id"].dataType.simpleString()
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, content in zip(batch["doc_id"], batch["content"], strict=True):
+                try:
+                    rows.append((doc, parser(bytes(content)), None))
+                except Exception as e:  # one bad file is one row
+                    rows.append((doc, None, repr(e)[:500]))
+            yield pd.DataFrame(rows, columns=["doc_id", "said", "error"])
+
+    got = pdfs.select("doc_id", "content").mapInPandas(scan, f"doc_id {kind}, said string, error string")
+    return got.select("doc_id", F.posexplode_outer(F.from_json("said", LEGACY)["kids"]).alias("pos", "k"), "error").select("doc_id", "pos", *legacy_columns(), "error")
+
+
 def data_url(png: Column) -> Column:
     return F.concat(F.lit("data:image/png;base64,"), F.base64(png))
 

@@ -17,6 +17,11 @@ LEGACY = "struct<kids:array<struct<type:string,id:bigint,`page number`:int,`boun
 _PARENT = r"([^/]+)/[^/]+$"
 
 
+def legacy_columns() -> list[Column]:
+    """Columns of a legacy kid ``k``."""
+    return [F.col("k.type"), F.col("k.id"), F.col("k.`page number`").alias("page"), F.col("k.`bounding box`").alias("bbox"), F.col("k.content"), F.col("k.source")]
+
+
 def _stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
@@ -106,18 +111,26 @@ def parse_assets(paths: DataFrame, doc: str = r"([^/]+)/[0-9]+/(?:tables|images)
 def read_legacy(spark: SparkSession, path: str, doc: str = r"([^/]+)\.json$") -> DataFrame:
     """Older documents: doc_id, pos, type, id, page, bbox, content, source."""
     rows = _whole(spark, path, doc, "*.json").select("doc_id", F.posexplode(F.from_json("text", LEGACY)["kids"]).alias("pos", "k"))
-    return rows.select("doc_id", "pos", "k.type", "k.id", F.col("k.`page number`").alias("page"), F.col("k.`bounding box`").alias("bbox"), "k.content", "k.source")
+    return rows.select("doc_id", "pos", *legacy_columns())
 
 
 def page_range(pages: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
-    """Pages from start to end of every document; a range that no document allows
-    raises, like a start below 1 or after the end."""
+    """Pages from start to end of every document, with a column ``error``.
+
+    A start below 1 or after the end raises.  Each document is judged by its own last
+    page: one that ends before ``end`` is one row with its error and no page.
+    """
     if (start is not None and start < 1) or (start is not None and end is not None and start > end):
         raise ValueError(f"no such page range: {start} to {end}")
-    if end is not None and (most := pages.agg(F.max("page")).first()[0]) is not None and end > most:
-        raise ValueError(f"page {end} is beyond the last page {most}")
-    lo, hi = start or 1, end if end is not None else (1 << 31) - 1
-    return pages.where(F.col("page").between(lo, hi))
+    none = F.lit(None).cast("string")
+    if end is None:
+        return pages.where(F.col("page") >= (start or 1)).withColumn("error", none)
+    last = F.max("page").over(Window.partitionBy("doc_id"))
+    known = pages.withColumn("__last", last)
+    good = known.where((F.col("__last") >= end) & F.col("page").between(start or 1, end)).drop("__last").withColumn("error", none)
+    said = F.concat(F.lit(f"page {end} is beyond the last page "), F.col("__last").cast("string"))
+    bad = known.where(F.col("__last") < end).groupBy("doc_id").agg(F.first("__last").alias("__last"))
+    return good.unionByName(bad.select("doc_id", said.alias("error")), allowMissingColumns=True)
 
 
 def page_counts(pages: DataFrame) -> DataFrame:
