@@ -17,12 +17,15 @@ _WRITTEN: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where it is unset (local tests) a folder of our own is made and set.
+    Only where it is unset, on a local master, a folder of our own is made and set; on a
+    cluster executors would not see it, so there it raises.
     """
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not found:
         found = f"file://{tempfile.mkdtemp(prefix='quire-')}"
         spark.sparkContext.setCheckpointDir(found)

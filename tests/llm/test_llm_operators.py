@@ -456,6 +456,19 @@ def test_repeats_in_many_batches(docs, rows, texts, monkeypatch):
         assert all(brute.sha(r["kept_text"]) == r["kept_sha256"] for r in got)
 
 
+def test_a_cluster_without_a_shared_folder_raises():
+    from types import SimpleNamespace as N
+
+    from quire.llm import _store
+
+    unset = N(get=lambda *a: None)
+    context = N(getConf=lambda: unset, getCheckpointDir=lambda: None, master="spark://somewhere:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        _store.shared_dir(N(sparkContext=context, conf=unset))
+    set_ = N(get=lambda *a: "s3://bucket/shared/")
+    assert _store.shared_dir(N(sparkContext=N(getConf=lambda: set_), conf=set_)) == "s3://bucket/shared"
+
+
 # ---- odd rows, empty tables -------------------------------------------------------
 
 RUNS = {
