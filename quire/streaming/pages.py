@@ -24,16 +24,23 @@ def line_blocks(pages: DataFrame) -> DataFrame:
     return spread(raw, ["doc_id", "page"], blocks.classify(F.col("raw.text"))).withColumn("is_noise", cleanup.is_noise(F.col("content")))
 
 
-def on_documents(pages: DataFrame, store: str, process: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def on_documents(pages: DataFrame, store: str, process: Callable[[DataFrame, int], None], checkpoint: str, buckets: int = 256) -> StreamingQuery:
     """Append each micro-batch of pages to ``store`` and call ``process`` with all pages
-    of the documents it touched.  A batch that is run again is written to its own
-    folder again, so pages are stored once."""
+    of the documents it touched.
+
+    The store lies in ``buckets`` folders by a hash of ``doc_id``, and only those of the
+    touched documents are read.  A batch that is run again is written to its own folder
+    again, so pages are stored once.
+    """
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
 
     def step(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{store}/batch={number}")
-        touched = spark.read.parquet(f"{store}/batch={number}").select("doc_id").distinct()
-        every = spark.read.option("basePath", store).parquet(store).where(F.col("batch") <= number).drop("batch")
-        process(every.join(touched, "doc_id", "left_semi"), number)
+        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={number}")
+        mine = spark.read.schema(batch.schema).option("basePath", store).parquet(f"{store}/batch={number}")
+        touched = mine.select("doc_id").distinct()
+        read = [r[0] for r in touched.select(bucket).distinct().collect()]  # as many as buckets at most
+        every = spark.read.option("basePath", store).parquet(store).where((F.col("batch") <= number) & F.col("bucket").isin(read))
+        process(every.select(batch.columns).join(touched, "doc_id", "left_semi"), number)
 
     return pages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).start()

@@ -149,6 +149,7 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert counts == [(0, 2), (1, 2)]
+    assert all("/bucket=" in f for f in spark.read.parquet(store).inputFiles())
 
 
 def test_files_of_sections_chunks_chapters_and_pages(spark, tmp_path):
