@@ -6,7 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from math import log2, log10
+from math import exp, log, log2, log10
 
 import xxhash
 
@@ -137,6 +137,66 @@ def token_scores(rows: list[tuple[int, str | None]]) -> dict[int, tuple]:
     return {d: (zlib.crc32(str(d).encode()) % 10 == 0, len(t), sum(c[x] > 0 for x in t), n, sum(log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t)) for d, t in tokens.items()}
 
 
+def model_scores(rows: list[tuple[int, str | None]], mu: float = 8.0, discount: float = 0.4) -> dict[int, float]:
+    """log10 probabilities from counts of tokens and pairs known only by their powers of two."""
+    tokens = {d: [*SPACE.findall((t or "").translate(AZ)), "\0"] for d, t in rows}
+    learnt = [t for d, t in tokens.items() if zlib.crc32(str(d).encode()) % 10]
+    one, two = Counter(x for t in learnt for x in t), Counter(p for t in learnt for p in zip(["\0", *t], t, strict=False))
+    n, v = sum(one.values()), len(one)
+
+    def middle(c: int) -> float:
+        low = 1 << (c.bit_length() - 1) if c else 0
+        return (3 * low - 1) / 2 if c else 0.0
+
+    out = {}
+    for d, t in tokens.items():
+        total = 0.0
+        for before, w in zip(["\0", *t], t, strict=False):
+            ahead = middle(one[before])
+            pair = max(0.0, min(middle(two[before, w]), ahead) - discount)
+            total += log10((pair + mu * (middle(one[w]) + 0.1) / (n + 0.1 * (v + 1))) / (ahead + mu))
+        out[d] = total
+    return out
+
+
+def machine_score(counts: dict[int, int], w0: float, w: dict[int, float], v: dict[int, list[float]]) -> float:
+    """Factorization machine with every pair of terms written out."""
+    x = {k: log(1 + n) for k, n in counts.items() if k in w}
+    z = w0 + sum(w[k] * x[k] for k in x)
+    keys = sorted(x)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            z += sum(p * q for p, q in zip(v[a], v[b], strict=True)) * x[a] * x[b]
+    return 1 / (1 + exp(-z))
+
+
+def site_scores(rows: list[tuple[str, str, float, bool]], trust: float = 0.5, swing: float = 1.0) -> list[tuple[float, float, float]]:
+    """(host mean, path mean, score) for rows (host, path, evidence, has words)."""
+    logit = lambda p: log(p / (1 - p))
+    inside = lambda p: min(1 - 1e-6, max(1e-6, p))
+    strength = lambda between, m: min(1000.0, max(1.0, m * (1 - m) / max(between, 1e-6) - 1))
+    mean = min(0.999, max(0.001, sum(e for *_, e, _ in rows) / len(rows)))
+    hosts: dict[str, list[float]] = {}
+    paths: dict[tuple[str, str], list[float]] = {}
+    for h, p, e, _ in rows:
+        hosts.setdefault(h, []).append(e)
+        paths.setdefault((h, p), []).append(e)
+    between = sum(len(x) * (sum(x) / len(x) - mean) ** 2 for x in hosts.values()) / len(rows)
+    a = strength(between, mean)
+    host_mean = {h: (sum(x) + a * mean) / (len(x) + a) for h, x in hosts.items()}
+    within = sum(len(x) * (sum(x) / len(x) - host_mean[h]) ** 2 for (h, _), x in paths.items()) / len(rows)
+    path_mean = {}
+    for (h, p), x in paths.items():
+        b = strength(within, host_mean[h])
+        path_mean[h, p] = (sum(x) + b * host_mean[h]) / (len(x) + b)
+    out = []
+    for h, p, e, words in rows:
+        site = min(swing, max(-swing, trust * (logit(inside(path_mean[h, p])) - logit(mean))))
+        z = logit(inside(e)) + site if words else -14.0
+        out.append((host_mean[h], path_mean[h, p], 1 / (1 + exp(-z))))
+    return out
+
+
 def without_repeats(rows: list[tuple[int, str | None]], window: int) -> dict[int, tuple[int, int, str]]:
     words = {d: SPACE.findall(t or "") for d, t in rows}
     first: dict[tuple, int] = {}

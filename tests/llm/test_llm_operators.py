@@ -225,6 +225,14 @@ def test_base_scores_are_exact_at_any_cut(docs, rows):
             assert g["score"] < 0
 
 
+def test_scores_are_those_of_exact_powers_of_two(docs, rows):
+    """A false bit of the filter can only change the few rows that meet it."""
+    want = brute.model_scores([(r[0], r[1]) for r in rows])
+    got = {d: r["score"] for d, r in by_id(lm_score.score(docs)).items()}
+    off = [abs(got[d] - w) / (1 + abs(w)) for d, w in want.items()]
+    assert sorted(off)[int(0.9 * len(off))] < 1e-9 and max(off) < 0.05
+
+
 def test_a_filter_of_many_parts_gives_the_scores_of_one(docs, monkeypatch):
     want = {d: r["score"] for d, r in by_id(lm_score.score(docs)).items()}
     monkeypatch.setattr(lm_score, "MAX_BITS", 1 << 16)  # a sixteenth of what the corpus asks for
@@ -341,6 +349,25 @@ def test_toxic_words_are_learnt(spark):
     assert len(held) > 80 and np.mean([got[i]["predicted"] == int(i % 6 == 0) for i in held]) > 0.95
 
 
+def test_scores_of_texts_are_those_of_all_pairs(docs, rows, labels):
+    got = by_id(toxicity.score(docs, labels))
+    m = toxicity.train(docs, labels)
+    buckets = {i: b for b, i in m.columns.items()}
+    w, v = {buckets[i]: x for i, x in enumerate(m.w)}, {buckets[i]: list(x) for i, x in enumerate(m.v)}
+    for d, text, *_ in rows[:60]:
+        want = brute.machine_score(toxicity.Terms(None).counts(text), m.w0, w, v)
+        assert got[d]["score"] == pytest.approx(want, rel=1e-6, abs=1e-12) and got[d]["predicted"] == int(got[d]["score"] >= 0.5)
+
+
+def test_site_posteriors_against_a_plain_version(docs, labels):
+    got = quality.classify(docs, labels).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    want = brute.site_scores([(r["host"], r["path"], r["evidence"], bool((texts[r["doc_id"]] or "").split())) for r in got])
+    for r, (host, path, score) in zip(got, want, strict=True):
+        assert (r["host_mean"], r["path_mean"], r["score"]) == pytest.approx((host, path, score), rel=1e-9)
+        assert r["quality"] == int(r["score"] >= 0.5)
+
+
 def test_quality_follows_labels_and_shrinks_sites(spark):
     r = random.Random(6)
     rows, labels = [], []
