@@ -86,6 +86,54 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_hit, 0) AS n_
 FROM d LEFT JOIN k USING (r) LEFT JOIN m USING (r)
 """
 
+#: Spans from the lengths of matches and of what lies between them; terms by their counts.
+_AT = "list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
+_OP1 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), k AS (
+    SELECT * FROM (VALUES (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+        (3, 'card', '[0-9]([\x20-]?[0-9])+'), (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')) AS k(o, kind, p)
+), f AS (
+    SELECT r, o, kind, v, a, a + length(v) AS b, regexp_replace(v, '[^0-9]', '', 'g') AS x FROM (
+        SELECT r, o, kind, m[i] AS v, CAST({at} AS BIGINT) AS a FROM (
+            SELECT r, o, kind, m, string_split_regex(t, p) AS g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT *, regexp_extract_all(t, p) AS m FROM d, k)))
+), s AS (
+    SELECT r, o, kind, a, b, kind || ':' || CASE WHEN o < 3 THEN lower(v) ELSE x END AS e FROM f
+    WHERE CASE o WHEN 1 THEN true WHEN 2 THEN list_bool_and(list_transform(string_split(v, '.'), lambda q: coalesce(TRY_CAST(q AS HUGEINT) <= 255, false)))
+        WHEN 3 THEN length(x) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(x) + 1), lambda j: CASE WHEN (length(x) - j) % 2 = 0 THEN CAST(x[j] AS BIGINT)
+            ELSE 2 * CAST(x[j] AS BIGINT) - CASE WHEN x[j] > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+        ELSE length(x) BETWEEN 9 AND 15 END
+), w AS (
+    SELECT r, lower(m[i]) AS term, CAST({at} AS BIGINT) AS a, length(m[i]) AS n FROM (
+        SELECT r, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT r, regexp_extract_all(t, '[\p{L}\p{N}_]+') AS m, string_split_regex(t, '[\p{L}\p{N}_]+') AS g FROM d SEMI JOIN s USING (r)))
+), o AS (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY a) AS z FROM w
+    WHERE n > 2 AND NOT EXISTS (SELECT 1 FROM s WHERE s.r = w.r AND w.a < s.b AND s.a < w.a + w.n)
+), c AS (
+    SELECT s.r, s.a, s.e, count(o.z) FILTER (WHERE o.a < s.a) AS i, count(o.z) FILTER (WHERE o.a < s.b) AS j FROM s LEFT JOIN o USING (r) GROUP BY s.r, s.a, s.e, s.o
+), y AS (
+    SELECT DISTINCT c.r, c.e, o.term FROM c JOIN o ON o.r = c.r AND (o.z > c.i - 8 AND o.z <= c.i OR o.z > c.j AND o.z <= c.j + 8)
+), l AS (
+    SELECT e, term, n_et FROM (SELECT e, term, count(*) AS n_et, count(DISTINCT t) AS texts FROM y JOIN d USING (r) GROUP BY e, term) WHERE texts > 1
+), ne AS (
+    SELECT e, count(DISTINCT r) AS n_e FROM s GROUP BY e
+), nt AS (
+    SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '[\p{L}\p{N}_]+'))) AS term FROM d) GROUP BY term
+), h AS (
+    SELECT DISTINCT s.r, l.term FROM l JOIN ne USING (e) JOIN nt USING (term) JOIN s USING (e), (SELECT count(*) AS n FROM d)
+    WHERE n > n_e AND log2(n * n_et / (n_e * n_t)) >= log2(n / n_e) / 1.25
+), q AS (
+    SELECT r, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY s.o, a) AS base, count(*) FILTER (WHERE s.o = 1) AS n1, count(*) FILTER (WHERE s.o = 2) AS n2, count(*) FILTER (WHERE s.o = 3) AS n3, count(*) FILTER (WHERE s.o = 4) AS n4
+    FROM s GROUP BY r
+), u AS (
+    SELECT r, string_agg('term:' || a || ':' || (a + n), ',' ORDER BY a) AS more, count(*) AS nm FROM o JOIN h USING (r, term) GROUP BY r
+)
+SELECT doc_id, coalesce(n1, 0) AS n_email, coalesce(n2, 0) AS n_ip, coalesce(n3, 0) AS n_card, coalesce(n4, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, concat_ws(',', base, more) AS spans, coalesce(nm, 0) AS n_term
+FROM d LEFT JOIN q USING (r) LEFT JOIN u USING (r)
+""".replace("{at}", _AT)
+
 #: Classes of equal sets, all pairs of classes with a common shingle, and what links reach.
 _OP2 = r"""
 WITH RECURSIVE d AS (
@@ -131,6 +179,6 @@ WITH d AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed, sha256(kept) AS kept_sha256 FROM k
 """
 
-ORACLES: dict[str, str] = {"op2_ngram_join": _OP2, "op10_phrases": _OP10, "op4_decontaminate": _OP4, "op6_sharding": sharding.oracle()}
+ORACLES: dict[str, str] = {"op1_pii": _OP1, "op2_ngram_join": _OP2, "op10_phrases": _OP10, "op4_decontaminate": _OP4, "op6_sharding": sharding.oracle()}
 
 

@@ -483,6 +483,30 @@ def test_repeats_in_many_batches(docs, rows, texts, monkeypatch):
         assert all(brute.sha(r["kept_text"]) == r["kept_sha256"] for r in got)
 
 
+@pytest.mark.parametrize("name", ["op1_pii", "op2_ngram_join", "op4_decontaminate", "op6_sharding", "op10_phrases"])
+def test_oracles(spark, rows, items, name):
+    """Operators with the queries' parameters against their SQL, on odd rows too."""
+    import duckdb
+
+    from quire.llm import queries
+
+    foot = "sent by our friend zorblax boss@corp.example or +49 (30) 123-4567"
+    every = [(r[0], r[1]) for r in [*rows, *odd_rows()] if len(r[1] or "") < 50_000]  # SQL lays out every window
+    every += [(10_000 + i, f"body{i} {'word ' * (i % 7)}other{i} {foot}") for i in range(40)]
+    df = spark.createDataFrame(every, "doc_id bigint, text string").repartition(3)
+    run = {
+        "op1_pii": pii.find_personal, "op2_ngram_join": lambda d: ngram_join.ngram_join(d, 4, 85, 100), "op4_decontaminate": lambda d: decontaminate.decontaminate(d, items.where("item_id is not null")).drop("row"),
+        "op6_sharding": sharding.shard, "op10_phrases": phrases.drop_repeats,
+    }[name](df)
+    con = duckdb.connect()
+    for table, types, values in (("documents", "doc_id bigint, text varchar", every), ("benchmark", "item_id bigint, text varchar", [tuple(r) for r in items.where("item_id is not null").collect()])):
+        con.execute(f"create table {table} ({types})")
+        con.executemany(f"insert into {table} values (?, ?)", values)
+    cols = sorted(run.columns)
+    want = con.sql(f"select {', '.join(cols)} from ({queries.ORACLES[name]})").fetchall()
+    assert sorted((tuple(r) for r in run.select(cols).collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_a_cluster_without_a_shared_folder_raises():
     from types import SimpleNamespace as N
 
