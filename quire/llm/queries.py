@@ -10,13 +10,19 @@ from . import decontaminate, fingerprint, lm_score, ngram_join, packing, phrases
 from ._store import dealt, small_batches
 
 
+#: A table of so many rows in fewer files than cores is dealt out to all of them.
+SMALL = 100_000
+
+
 def native_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores and df.count() <= SMALL else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
-    return dealt(native_table(spark, sf_dir, name))
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
