@@ -37,11 +37,12 @@ def verify(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def count_recall(pairs: DataFrame) -> DataFrame:
     """doc_id, count_recall: share of digital words, with repeats, that were kept."""
     df = words_of(pairs)
-    counted = lambda c: df.select("doc_id", F.explode(c).alias("word")).groupBy("doc_id", "word").count()
-    d, e = counted("digital_words"), counted("extracted_words").withColumnRenamed("count", "kept")
-    met = d.join(e, ["doc_id", "word"], "left")
-    sums = met.groupBy("doc_id").agg((F.sum(F.least(F.col("count"), F.coalesce("kept", F.lit(0)))) / F.sum("count")).alias("count_recall"))
-    return df.select("doc_id").join(sums, "doc_id", "left").select("doc_id", F.coalesce("count_recall", F.lit(1.0)).alias("count_recall"))
+    side = lambda c, own, kept: F.transform(c, lambda w: F.struct(w.alias("word"), F.lit(own).alias("own"), F.lit(kept).alias("kept")))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).alias("own"), F.lit(0).alias("kept")))  # texts without words count, too
+    every = df.select("doc_id", F.inline(F.concat(none, side("digital_words", 1, 0), side("extracted_words", 0, 1))))
+    words = every.groupBy("doc_id", "word").agg(F.sum("own").alias("own"), F.sum("kept").alias("kept"))
+    sums = words.groupBy("doc_id").agg((F.sum(F.least("own", "kept")) / F.nullif(F.sum("own"), F.lit(0))).alias("count_recall"))
+    return sums.select("doc_id", F.coalesce("count_recall", F.lit(1.0)).alias("count_recall"))
 
 
 def batch_pages(pages: DataFrame, per_batch: int | None) -> DataFrame:
