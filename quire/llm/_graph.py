@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialize
+from ._store import materialize, release, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,9 +30,10 @@ def components(edges: DataFrame, name: str = "links", rows: int | None = None) -
     """(node, root): root is the least node that links lead to.
 
     ``edges`` has long columns a and b.  Only nodes with a link are returned.
-    Every round is written to the shared folder; rounds grow with the logarithm
-    of the longest chain.  ``rows``: a bound of the number of edges, if known.
+    Every round is written to the shared folder, and the one before deleted; rounds grow
+    with the logarithm of the longest chain.  ``rows``: a bound of the number of edges, if known.
     """
+    mark = written()
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, rows)
 
     def state(df: DataFrame) -> tuple:
@@ -42,6 +43,7 @@ def components(edges: DataFrame, name: str = "links", rows: int | None = None) -
     while at[0]:
         large = materialize(_stars(now, True), f"{name}-large", 2 * at[0])
         now = materialize(_stars(large, False), f"{name}-small", 2 * at[0])
+        release(mark, now)
         after = state(now)
         if after == at:
             break

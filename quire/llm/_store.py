@@ -46,16 +46,35 @@ def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     _WRITTEN.append((spark, path))
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def written() -> int:
+    """How many tables stand in the shared folder: a mark for :func:`release`."""
+    return len(_WRITTEN)
+
+
+def release(since: int, keep: DataFrame) -> None:
+    """Delete the tables written since a mark, but for ``keep``, which
+    :func:`materialize` gave: nothing before it is read again."""
+    for spark, path in _WRITTEN[since:]:
+        if path != keep.written_to:
+            _delete(spark, path)
+            _WRITTEN.remove((spark, path))
 
 
 @atexit.register
 def _drop_written() -> None:
     for spark, path in _WRITTEN:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session may be gone at exit
             return
 

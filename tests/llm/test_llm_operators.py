@@ -507,6 +507,20 @@ def test_oracles(spark, rows, items, name):
     assert sorted((tuple(r) for r in run.select(cols).collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_tables_of_earlier_steps_are_released(spark):
+    from pathlib import Path
+
+    from quire.llm import _store
+    from quire.llm._graph import components
+
+    folder = Path(_store.shared_dir(spark).removeprefix("file://")) / "quire"
+    edges = spark.range(200).selectExpr("id as a", "id + 1 as b").where("b % 50 <> 0")
+    mark, before = _store.written(), set(folder.iterdir()) if folder.exists() else set()
+    got = {r["node"]: r["root"] for r in components(edges).collect()}
+    assert got == {i: i - i % 50 for i in range(200)}
+    assert len(set(folder.iterdir()) - before) == 1 and _store.written() == mark + 1
+
+
 def test_a_cluster_without_a_shared_folder_raises():
     from types import SimpleNamespace as N
 
