@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import decontaminate, ngram_join, packing, pii, quality
-from quire.llm._store import materialize, small_batches
+from quire.llm._store import materialize, release, small_batches, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document that holds any window of the benchmark goes, however long it is."""
     return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
@@ -54,7 +55,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, mark = _table(spark, sf_dir, "documents"), written()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        release(mark, docs)  # what the stage and those before it wrote is not read again
     return STAGES[-1][1](spark, docs, sf_dir)
