@@ -24,6 +24,19 @@ BOILERPLATE_WHOLE = ("springer",)
 BOILERPLATE_INSIDE = ("extended author information available on the last page of the article", "published online:")
 MIN_LETTERS = 6
 
+# Patterns that results depend on.
+FIGURE_CAPTION = r"(?iU)^\s*(?:fig(?:ure)?)\.?\s*[:.]?\s*([0-9]+)\b"
+TABLE_CAPTION = r"(?iU)^\s*table\s+([0-9]+)\b"
+HTML_FIGURE_NUMBER = r"(?isU)<figcaption\b[^>]*>.*?\b(?:fig(?:ure)?)\.?\s*[:.]?\s*([0-9]+)\b"
+HTML_FIGURE_CAPTION = r"(?is)<figcaption\b[^>]*>(.*?)</figcaption>"
+HTML_TABLE_NUMBER = r"(?isU)<caption\b[^>]*>.*?\btable\s+([0-9]+)\b"
+HTML_TABLE_CAPTION = r"(?is)<caption\b[^>]*>(.*?)</caption>"
+ALT_TEXT = r'(?i)<img\b[^>]*\balt="([^"]*)"'
+BOLD_LEAD = r"(?dU)^\s*\*\*(.+?)\*\*"
+STANDALONE_BOLD = r"(?dU)^\s*\*\*(.+?)\*\*\s*\z"
+#: What becomes of markup, in this order.
+MARKUP = ((r"\$[^$]*\$", " "), (r"\\[a-zA-Z]+", " "), (r"\$", " "), (r'<img\b[^>]*\balt="([^"]*)"[^>]*>', " $1 "), (r"<[^>]+>", " "))
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often it is named there."""
@@ -95,11 +108,11 @@ def _captioned(c: Column, pattern: str) -> Column:
 
 def figure_number(c: Column) -> Column:
     """struct(number, caption) of a text that starts like a figure caption."""
-    return _captioned(c, r"(?iU)^\s*(?:fig(?:ure)?)\.?\s*[:.]?\s*([0-9]+)\b")
+    return _captioned(c, FIGURE_CAPTION)
 
 
 def table_number(c: Column) -> Column:
-    return _captioned(c, r"(?iU)^\s*table\s+([0-9]+)\b")
+    return _captioned(c, TABLE_CAPTION)
 
 
 @F.pandas_udf(StringType())
@@ -115,24 +128,24 @@ def _html_caption(c: Column, number: str, inner: str) -> Column:
 
 def html_figure(c: Column) -> Column:
     """struct(number, caption) from a figure's markup; the number may follow the caption."""
-    return _html_caption(c, r"(?isU)<figcaption\b[^>]*>.*?\b(?:fig(?:ure)?)\.?\s*[:.]?\s*([0-9]+)\b", r"(?is)<figcaption\b[^>]*>(.*?)</figcaption>")
+    return _html_caption(c, HTML_FIGURE_NUMBER, HTML_FIGURE_CAPTION)
 
 
 def html_table(c: Column) -> Column:
-    return _html_caption(c, r"(?isU)<caption\b[^>]*>.*?\btable\s+([0-9]+)\b", r"(?is)<caption\b[^>]*>(.*?)</caption>")
+    return _html_caption(c, HTML_TABLE_NUMBER, HTML_TABLE_CAPTION)
 
 
 def alt_text(c: Column) -> Column:
-    return F.nullif(strip(unescape(group(c, r'(?i)<img\b[^>]*\balt="([^"]*)"'))), F.lit(""))
+    return F.nullif(strip(unescape(group(c, ALT_TEXT))), F.lit(""))
 
 
 def bold_lead(c: Column) -> Column:
-    return strip(group(c, r"(?dU)^\s*\*\*(.+?)\*\*"))
+    return strip(group(c, BOLD_LEAD))
 
 
 def standalone_bold(c: Column) -> Column:
     """Content that is nothing but bold; inner marks may remain."""
-    return strip(group(c, r"(?dU)^\s*\*\*(.+?)\*\*\s*\z"))
+    return strip(group(c, STANDALONE_BOLD))
 
 
 def strip_emphasis(c: Column) -> Column:
@@ -173,7 +186,7 @@ def fold(s: pd.Series) -> pd.Series:
 
 def base_normalize(c: Column) -> Column:
     c = F.translate(F.regexp_replace(fold(c), "­", ""), "–—−“”", '---""')
-    for pattern, to in ((r"\$[^$]*\$", " "), (r"\\[a-zA-Z]+", " "), (r"\$", " "), (r'<img\b[^>]*\balt="([^"]*)"[^>]*>', " $1 "), (r"<[^>]+>", " ")):
+    for pattern, to in MARKUP:
         c = F.regexp_replace(c, pattern, to)
     return c
 

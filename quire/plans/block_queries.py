@@ -92,6 +92,7 @@ def merge_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleanup.clean(V.blocks(spark, sf_dir))
 
 
+# The words that name sections, as in the operators.
 _WORDS3 = "list_has_any(string_split(norm, ' ')[1:3], [{0}])"
 _STARTS = rf"""{V.SQL_BLOCKS}, nb AS (SELECT *, {V.normalize("content")} AS norm, {V.normalize(V.first_group("content", r"^\s*\*\*(.+?)\*\*"))} AS lead FROM blocks),
     meta AS (SELECT doc_id, arg_min(page, pos) AS ap, arg_min(coalesce(level, 0), pos) AS al FROM nb WHERE type = 'heading' AND norm = 'abstract' GROUP BY doc_id),

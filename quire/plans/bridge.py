@@ -107,6 +107,7 @@ def number(x: str, pattern: str, flags: str = "i") -> str:
     return f"TRY_CAST(nullif(regexp_extract({x}, '{pattern}', 1, '{flags}'), '') AS INTEGER)"
 
 
+# Caption patterns, and below the phrases of noise and clutter, as in the operators.
 FIGURE = r"^\s*(?:fig(?:ure)?)\.?\s*[:.]?\s*([0-9]+)\b"
 TABLE = r"^\s*table\s+([0-9]+)\b"
 
