@@ -103,8 +103,12 @@ def entity(kind: str, value: str) -> int:
 
 
 def shape(term: str) -> str:
-    kinds = {"9" if c.isdigit() else "a" for c in term}
-    return "a9" if len(kinds) > 1 else kinds.pop()
+    """``a`` without digits, ``9`` of digits alone, ``a9`` of both."""
+    if term.isalpha():
+        return "a"
+    if term.isdigit():
+        return "9"
+    return "a9" if any(map(str.isdigit, term)) else "a"
 
 
 def _outside(spans: list[Span], text: str) -> list[tuple[str, int, int]]:
@@ -185,6 +189,7 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, alpha: float = ALPHA)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter = Counter()
+        marked = {x: f"\x00{x}" for x in ("a", "9", "a9")}
 
         def rows() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], ["term", "n"])
@@ -197,7 +202,7 @@ def disclosing_terms(docs: DataFrame, reach: int = REACH, alpha: float = ALPHA)
                     terms = set(_WORD.findall(text.lower()))
                     sums.update(terms)
                     if kinds:
-                        sums.update({f"\x00{shape(t)}" for t in terms if len(t) > 2})
+                        sums.update({marked[shape(t)] for t in terms if len(t) > 2})
             if len(sums) > 1 << 17:
                 yield rows()
         yield rows()
