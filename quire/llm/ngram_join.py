@@ -312,5 +312,5 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
         return unpacked(kept)
     held = with_maybe(kept, "idkey", twice, "lostkey")
     again = held.where("maybe").join(twice.withColumn("again", F.lit(True)), same, "left")
-    once = again.where("again").groupBy("doc_id", "row").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    once = again.where("again").groupBy("doc_id", "row").agg(F.min_by("doc", F.xxhash64(F.to_json("doc"))).alias("doc"))
     return unpacked(held.where(~F.col("maybe")).select("doc").unionByName(again.where("again is null").select("doc")).unionByName(once.select("doc")))

@@ -100,7 +100,10 @@ def test_rows_of_one_id_and_rows_without_an_id_are_searched_by_their_texts(spark
 def test_of_rows_with_one_id_only_near_copies_go(spark):
     text = lambda x, w: " ".join([f"{x}{i}" for i in range(100)] + [w])
     rows = [(5, text("a", "x"), 1), (5, text("b", "x"), 1), (5, text("b", "x"), 1), (9, text("a", "y"), 1), (None, text("b", "y"), 1), (None, text("c", "x"), 1), (7, None, 1), (7, None, 1)]
-    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string, n bigint")).collect()
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n bigint").withColumn("doc", F.create_map(F.lit("k"), F.lit(1)))
+    kept = ngram_join.one_of_each(df).collect()
     assert sorted((r["doc_id"] or 0, (r["text"] or "")[:1]) for r in kept) == [(0, "c"), (5, "a"), (5, "b"), (7, ""), (7, "")]
 
 
