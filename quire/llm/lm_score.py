@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._counts import MAX_BITS, bits_for, filter_slices, gathered, key_blobs, segments_for, total_chars
+from ._counts import MAX_BITS, LogFilter, bits_for, filter_slices, gathered, key_blobs, segments_for, total_chars
 from ._store import materialize
 from ._words import WordHash, mix, rows_in, words_of
 
@@ -60,6 +60,12 @@ def _tokens(hashes: WordHash, raw: bytes | None) -> np.ndarray:
     return hashes.of([*words_of(raw), _END])
 
 
+def _levels(probed: LogFilter, keys: np.ndarray) -> np.ndarray:
+    """Levels of keys that repeat: each distinct one is probed once, in their order."""
+    once, back = np.unique(keys, return_inverse=True)
+    return probed.levels(once)[back]
+
+
 def _middle(level: np.ndarray) -> np.ndarray:
     """Middle of the counts that share a level: 2**(l-1) to 2**l - 1."""
     two = np.exp2(np.maximum(level.astype(np.float64), 1) - 1)
@@ -185,7 +191,7 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
         for batch, rows, end in chunks(batches):
             single, pair, at = keys_by_row(rows, end)
             if whole is not None:
-                got, dealt = score_of(whole.value.levels(single), whole.value.levels(pair), at), [None] * len(rows)
+                got, dealt = score_of(_levels(whole.value, single), _levels(whole.value, pair), at), [None] * len(rows)
             else:
                 a, b = part_of(single), part_of(pair)
                 got, dealt = [None] * len(rows), [np.r_[a[i:j], b[i:j]].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
@@ -209,7 +215,7 @@ def score(docs: DataFrame, folds: int = FOLDS, mu: float = MU, discount: float =
                 single, pair, at = keys_by_row(rows, end)
                 keys = np.concatenate([k[a:b] for a, b in zip(at[:-1], at[1:], strict=True) for k in (single, pair)])
                 mine = part_of(keys) == i
-                levels = shared.value.levels(keys[mine])
+                levels = _levels(shared.value, keys[mine])
                 ends = np.r_[0, np.cumsum(mine)][2 * at]
                 blobs = [levels[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch["row"], pa.array(np.full(len(rows), i, np.int32)), pa.array(blobs, pa.binary())], ["row", "part", "levels"])
