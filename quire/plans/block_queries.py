@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import assets, blocks, cleanup, headings, layout, sections
+from ..operators import assets, blocks, cleanup, cropping, headings, layout, pictures, sections
 from ..sources import files
 from . import bridge as V
 
@@ -275,3 +275,25 @@ def requested_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT DISTINCT doc_id, NULL, 'page 10 is beyond the last page ' || last FROM pg WHERE last < 10""")
 def page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.page_range(V.blocks(spark, sf_dir).select("doc_id", "page").distinct(), 2, 10)
+
+
+@register(f"""WITH {V.SQL_BLOCKS} SELECT doc_id, page, pos, number FROM (SELECT doc_id, page, pos, {V.number(V.strip_md("content"), V.FIGURE)} AS number, CASE WHEN pos % 7 = 0 THEN NULL WHEN pos % 5 = 0 THEN page + 1 ELSE page END AS prov FROM blocks)
+    WHERE number IS NOT NULL AND coalesce(prov, page) = page""")
+def caption_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pos = F.col("pos")
+    prov = F.when(pos % 7 == 0, F.lit(None)).when(pos % 5 == 0, F.col("page") + 1).otherwise(F.col("page"))
+    texts = V.blocks(spark, sf_dir).select("doc_id", "page", "pos", F.col("content").alias("text"), prov.cast("int").alias("prov_page"))
+    return pictures.caption_candidates(texts).select("doc_id", "page", "pos", "number")
+
+
+@register(f"""WITH {V.SQL_BLOCKS} SELECT doc_id, pos, page, level, content FROM blocks WHERE type = 'heading'""")
+def chapter_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cropping.chapter_headings(V.blocks(spark, sf_dir)).select("doc_id", "pos", "page", "level", "content")
+
+
+@register(rf"""WITH {V.SQL_BLOCKS}, w AS (SELECT *, {V.word_count(V.strip_md("content"))} AS words FROM blocks),
+    t AS (SELECT doc_id, arg_min({V.strip("content")}, pos) AS title FROM w WHERE type = 'heading' AND level = 1 AND words >= 3 GROUP BY doc_id)
+    SELECT DISTINCT b.doc_id, coalesce(title, 'paper ' || b.doc_id) AS title FROM blocks b LEFT JOIN t USING (doc_id)""")
+def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = blocks.promote_title(V.blocks(spark, sf_dir)).withColumn("name", F.concat(F.lit("paper "), F.col("doc_id").cast("string")))
+    return sections.document_title(rows, "name")
