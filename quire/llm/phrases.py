@@ -50,7 +50,8 @@ WINDOW, PHRASE = 50, 8
 BATCH, BATCH_BYTES, SEGMENT = 1 << 18, 1 << 23, 1 << 20
 _DONE, _OPEN, _NOTES, _PHRASES, _FIRSTS = range(5)
 _MANY = np.uint32(1 << 31)  # the batch holds the window in several documents
-#: A batch's rows (raw is packed), notes (a: windows, b: least ids, c: numbers of phrases) and phrases.
+#: A batch's rows (raw is packed), notes (a: windows, b: least ids from doc on, c: numbers of
+#: phrases) and phrases.
 _CUT = {"kind": pa.int32(), "batch": pa.int64(), "seg": pa.int32(), "doc": pa.int64(), "raw": pa.binary(), "n_words": pa.int64(), "digest": pa.string(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary()}
 _CUT_SQL = "kind int, batch long, seg int, doc long, raw binary, n_words long, digest string, a binary, b binary, c binary"
 _OUT = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept_text": pa.string()}
@@ -61,6 +62,16 @@ def plain_words(raw: bytes | None) -> list[bytes]:
     return raw.split() if raw else []
 
 
+def _pack_ids(ids: np.ndarray) -> tuple[int | None, bytes]:
+    """Ids as four bytes from their least one on where that does, else as they are."""
+    least = int(ids.min())
+    return (least, (ids - least).astype(np.uint32).tobytes()) if int(ids.max()) - least < 1 << 32 else (None, ids.tobytes())
+
+
+def _ids(least: int | None, raw) -> np.ndarray:
+    return np.frombuffer(raw, np.int64) if least is None else np.frombuffer(raw, np.uint32).astype(np.int64) + least
+
+
 def _rows(cols: dict[str, list]) -> pa.RecordBatch:
     """Rows of a batch's table; columns that are not given are null."""
     n = len(next(iter(cols.values())))
@@ -100,9 +111,9 @@ class Notes:
         keys, docs = keys[at], docs[at]
         seg = (keys >> self.shift).astype(np.int32)
         cut = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
-        cols: dict[str, list] = {c: [] for c in ("kind", "batch", "seg", "a", "b", "c")}
+        cols: dict[str, list] = {c: [] for c in ("kind", "batch", "seg", "a", "doc", "b", "c")}
         for i, j in zip(cut.tolist(), np.r_[cut[1:], len(seg)].tolist(), strict=True):
-            for c, x in zip(cols, (_NOTES, self.batch, int(seg[i]), keys[i:j].tobytes(), docs[i:j].tobytes(), number[i:j].tobytes()), strict=True):
+            for c, x in zip(cols, (_NOTES, self.batch, int(seg[i]), keys[i:j].tobytes(), *_pack_ids(docs[i:j]), number[i:j].tobytes()), strict=True):
                 cols[c].append(x)
         yield _rows(cols)
         yield _rows({"kind": [_PHRASES], "batch": [self.batch], "a": [b"\n".join(self.phrases.values())]})
@@ -114,7 +125,7 @@ def first_documents(notes: pa.Table) -> pa.Table:
     their first one, with that first document."""
     keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in notes["a"]]
     sizes = [len(k) for k in keys]
-    docs = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in notes["b"]])
+    docs = np.concatenate([_ids(least, x.as_buffer()) for least, x in zip(notes["doc"].to_pylist(), notes["b"], strict=True)])
     number = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in notes["c"]])
     keys = np.concatenate(keys)
     order = np.lexsort((docs, keys))
@@ -123,11 +134,11 @@ def first_documents(notes: pa.Table) -> pa.Table:
     first[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
     told = (docs > first) | (number & _MANY > 0)
     ends = np.cumsum([0, *sizes])
-    out: dict[str, list] = {c: [] for c in ("batch", "a", "b", "c")}
+    out: dict[str, list] = {c: [] for c in ("batch", "a", "doc", "b", "c")}
     for batch, i, j in zip(notes["batch"].to_pylist(), ends[:-1], ends[1:], strict=True):
         mine = np.flatnonzero(told[i:j]) + i
         if len(mine):
-            for c, x in zip(out, (batch, keys[mine].tobytes(), first[mine].tobytes(), (number[mine] & ~_MANY).tobytes()), strict=True):
+            for c, x in zip(out, (batch, keys[mine].tobytes(), *_pack_ids(first[mine]), (number[mine] & ~_MANY).tobytes()), strict=True):
                 out[c].append(x)
     return pa.table({c: pa.array(x, _CUT[c]) for c, x in out.items()})
 
@@ -234,9 +245,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
     table = materialize(base.mapInArrow(cut, _CUT_SQL), "windows")
     shared.destroy()
 
-    told = table.where(f"kind = {_NOTES}").select("seg", "batch", "a", "b", "c").groupBy("seg").applyInArrow(first_documents, "batch long, a binary, b binary, c binary")
-    none = F.lit(None)
-    firsts = told.select(F.lit(_FIRSTS).alias("kind"), "batch", none.cast("long").alias("doc"), none.cast("binary").alias("raw"), "a", "b", "c")
+    told = table.where(f"kind = {_NOTES}").select("seg", "batch", "a", "doc", "b", "c").groupBy("seg").applyInArrow(first_documents, "batch long, a binary, doc long, b binary, c binary")
+    firsts = told.select(F.lit(_FIRSTS).alias("kind"), "batch", "doc", F.lit(None).cast("binary").alias("raw"), "a", "b", "c")
     held = table.where(F.col("kind").isin(_OPEN, _PHRASES)).select("kind", "batch", "doc", "raw", "a", "b", "c").unionByName(firsts)
     met = held.repartition(partitions(spark), "batch").sortWithinPartitions("batch", F.desc("kind"))
 
@@ -251,7 +261,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, te
                     current, phrases, told, shard = number, [], [], None
                 kind = r["kind"].as_py()
                 if kind == _FIRSTS:
-                    told.append(tuple(np.frombuffer(r[c].as_py(), t) for c, t in (("a", np.uint64), ("b", np.int64), ("c", np.uint32))))
+                    told.append((np.frombuffer(r["a"].as_py(), np.uint64), _ids(r["doc"].as_py(), r["b"].as_py()), np.frombuffer(r["c"].as_py(), np.uint32)))
                 elif kind == _PHRASES:
                     phrases = r["a"].as_py().split(b"\n")
                 else:

@@ -475,6 +475,14 @@ def test_the_automaton_finds_what_goes():
     assert shard.repeated(7, words, hashes) == []
 
 
+def test_repeats_of_far_ids(spark):
+    said = " ".join(f"w{i}" for i in range(60))
+    ids = [-(1 << 62), 5, (1 << 62) + 1, (1 << 62) + 3, None]
+    df = spark.createDataFrame([(d, f"{said} own{i}") for i, d in enumerate(ids)], "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: r["n_removed"] for r in phrases.drop_repeats(df).collect()}
+    assert got == {d: 60 if d is not None and d > ids[0] else 0 for d in ids}
+
+
 @pytest.mark.parametrize("texts", [False, True])
 def test_repeats_in_many_batches(docs, rows, texts, monkeypatch):
     for name, value in (("BATCH", 40), ("SEGMENT", 8)):
