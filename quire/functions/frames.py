@@ -13,6 +13,17 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def keyed(df: DataFrame, *keys: str, mb: int = 8) -> DataFrame:
+    """Rows of a key in one partition, and as many partitions as the files below ask at
+    ``mb`` each, so that a task's share does not grow with the table (the session's fixed
+    number, merged further at run time, does).  Tables of unknown size stay as they are."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= 1 << 60:  # what Spark says of a table it knows nothing about
+        return df
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // (mb << 20))), *keys)
+
+
 def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are worked out once for each row.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..functions.frames import spread
+from ..functions.frames import keyed, spread
 
 _HTML = r"(?U)^[\s\x1c-\x1f]*<([a-zA-Z][a-zA-Z0-9]*)\b[^>]*>"
 _HEADING = r"(?dU)^(#{1,6})\s+(.*)\z"
@@ -102,7 +102,7 @@ def number_blocks(df: DataFrame, *order: str) -> DataFrame:
     """Dense 0-based ``pos`` by document; columns used for the order are dropped
     but for page."""
     place = Window.partitionBy("doc_id").orderBy(*order)
-    out = df.withColumn("pos", (F.row_number().over(place) - 1).cast("int"))
+    out = keyed(df, "doc_id").withColumn("pos", (F.row_number().over(place) - 1).cast("int"))
     rest = [c for c in df.columns if c not in ("doc_id", "pos", "page", *[o for o in order if o != "page"])]
     return out.select("doc_id", "pos", "page", *rest)
 

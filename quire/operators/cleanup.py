@@ -79,16 +79,16 @@ def drop_running_heads(blocks: DataFrame, scan: int = 3, most_words: int = 10) -
     """Front matter of first pages, then the outer paragraphs of every page that look
     like running heads.  The order is by page, then position."""
     paragraph = F.col("type") == "paragraph"
-    df = with_once(blocks, {"__plain": T.strip_md(F.col("content"))})
-    df = df.where(~((F.col("page") == 1) & paragraph & _front_matter(F.col("__plain"))))
-    page = Window.partitionBy("doc_id", "page")
-    up, down = page.orderBy("pos"), page.orderBy(F.desc("pos"))
+    df = blocks.where(~((F.col("page") == 1) & paragraph & is_front_matter(F.col("content"))))
+    page = Window.partitionBy("doc_id", "page").orderBy("pos")
+    upto, whole = page.rowsBetween(Window.unboundedPreceding, 0), page.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     other = F.when(paragraph, 0).otherwise(1)
-    whole = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-    edge = lambda w: (F.row_number().over(w) <= scan) & (F.sum(other).over(whole(w)) == 0)
-    df = df.withColumn("__edge", edge(up) | edge(down))
-    bad = F.col("__edge") & _running_head(F.col("__plain")) & (T.plain_words(F.col("__plain")) < most_words)
-    return df.where(~bad).drop("__edge", "__plain")
+    df = df.withColumns({"__other": F.sum(other).over(upto), "__others": F.sum(other).over(whole), "__nth": F.row_number().over(page), "__n": F.count(F.lit(1)).over(whole)})
+    up = (F.col("__nth") <= scan) & (F.col("__other") == 0)
+    down = (F.col("__n") - F.col("__nth") < scan) & (F.col("__others") - F.col("__other") + other == 0)  # the same from below
+    short = lambda plain: _running_head(plain) & (T.plain_words(plain) < most_words)
+    bad = (up | down) & T.let(T.strip_md(F.col("content")), short)
+    return df.where(~bad).select(*blocks.columns)
 
 
 def merge_paragraphs(blocks: DataFrame, least_words: int = 10) -> DataFrame:
@@ -104,9 +104,9 @@ def merge_paragraphs(blocks: DataFrame, least_words: int = 10) -> DataFrame:
     df = with_once(df, {"__end": F.coalesce(T.ends_broken(F.col("content")) & long, F.lit(False)), "__start": F.coalesce(T.starts_broken(F.col("content")) & long, F.lit(False))})
     df = df.withColumns({"__next": F.lead("content").over(w), "__link": F.col("__s") & F.col("__end") & F.coalesce(F.lead("__start").over(w), F.lit(False))})
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("__isle", F.sum(F.when(F.col("__link"), 0).otherwise(1)).over(upto))
-    within = Window.partitionBy("doc_id", "__s", "__isle").orderBy("page", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("__fires", F.col("__link") & (F.sum(F.when(F.col("__link"), 1).otherwise(0)).over(within) % 2 == 1))
+    df = df.withColumn("__nth", F.row_number().over(w))
+    chain = F.col("__nth") - F.coalesce(F.max(F.when(F.col("__link"), F.lit(None)).otherwise(F.col("__nth"))).over(upto), F.lit(0))
+    df = df.withColumn("__fires", F.col("__link") & (chain % 2 == 1))
     df = df.withColumn("__gone", F.coalesce(F.lag("__fires").over(w), F.lit(False)))
     merged = F.when(F.col("__fires"), T.join_parts(F.col("content"), F.col("__next"))).otherwise(F.col("content"))
     return df.where(~F.col("__gone")).withColumn("content", merged).select(*blocks.columns)

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions.frames import keyed
 from quire.operators import assets, blocks, chunking, cleanup, headings, legacy, pictures, recall, sections
 from quire.plans.pipeline import Papers
 
@@ -49,6 +50,22 @@ def test_running_heads_leave_page_edges(spark):
     assert got == {2, 3}
 
 
+def test_a_task_of_merging_does_not_grow_with_the_table(spark, tmp_path):
+    def table(n):
+        text = F.concat(F.lit("Open "), F.expr("array_join(transform(sequence(1, 20), i -> sha2(concat(id, ' ', i), 256)), ' ')"), F.lit(" and"))
+        rows = spark.range(n).select((F.col("id") % 500).alias("doc_id"), F.lit(1).alias("page"), F.col("id").alias("n"), F.lit("paragraph").alias("type"), F.lit(None).cast("int").alias("level"), text.alias("content"))
+        rows.write.parquet(f"{tmp_path}/{n}")
+        return spark.read.parquet(f"{tmp_path}/{n}")
+
+    small, large = table(20_000), table(80_000)
+    dealt = [keyed(df, "doc_id", mb=1).rdd.getNumPartitions() for df in (small, large)]
+    assert dealt[0] > 4 and 3.5 < dealt[1] / dealt[0] < 4.5
+    cleaned = cleanup.clean(blocks.number_blocks(large, "page", "n"))
+    assert cleaned.rdd.getNumPartitions() >= -(-sum(f.stat().st_size for f in (tmp_path / "80000").glob("*.parquet")) // (8 << 20)) > 4
+    plan = cleaned._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("- Sort [") <= 3 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_weak_levels(spark):
     def run(*items):
         rows = [(1, i, 1, "heading" if k == "h" else "paragraph", v, "H" if k == "h" else "**W**") for i, (k, v) in enumerate(items)]
