@@ -7,13 +7,14 @@ Patterns carry ``(?U)`` for Unicode classes and ``(?d)`` where a dot must stop a
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, StringType
 
 _S = r"[\s\x1c-\x1f]"
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
@@ -35,7 +36,12 @@ ALT_TEXT = r'(?i)<img\b[^>]*\balt="([^"]*)"'
 BOLD_LEAD = r"(?dU)^\s*\*\*(.+?)\*\*"
 STANDALONE_BOLD = r"(?dU)^\s*\*\*(.+?)\*\*\s*\z"
 #: What becomes of markup, in this order.
-MARKUP = ((r"\$[^$]*\$", " "), (r"\\[a-zA-Z]+", " "), (r"\$", " "), (r'<img\b[^>]*\balt="([^"]*)"[^>]*>', " $1 "), (r"<[^>]+>", " "))
+MARKUP = tuple((re.compile(p), to) for p, to in ((r"\$[^$]*\$", " "), (r"\\[a-zA-Z]+", " "), (r"\$", " "), (r'<img\b[^>]*\balt="([^"]*)"[^>]*>', r" \1 "), (r"<[^>]+>", " ")))
+PLAIN = (("\u00ad", ""), ("–", "-"), ("—", "-"), ("−", "-"), ("“", '"'), ("”", '"'))
+#: A word broken at a line's end, told by the hyphen first: most texts have none.
+LINE_HYPHEN = re.compile(r"-[^\S\n]*\n")
+BROKEN_WORD = re.compile(r"([a-z]{2})-[^\S\n]*\n\s*([a-z]{2,})")
+LONG_WORD = re.compile(rf"\b[a-z]{{{MIN_LETTERS},}}\b")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -178,47 +184,72 @@ def table_identifier(number: Column, caption: Column) -> Column:
     return F.coalesce(number.cast("string"), F.when(caption != "", F.regexp_replace(safe, r"^_+|_+\z", "")))
 
 
-@F.pandas_udf(StringType())
-def fold(s: pd.Series) -> pd.Series:
-    """Unescaped, lowered, then NFKC (in this order; no built-in does NFKC)."""
-    return s.map(lambda t: unicodedata.normalize("NFKC", html.unescape(t).lower()), na_action="ignore")
+# Normalizing is plain Python, one pass over a text and no Column for each step: NFKC and
+# unescaping need a worker anyway, and Python's classes of letters are the reference's.
 
 
-def base_normalize(c: Column) -> Column:
-    c = F.translate(F.regexp_replace(fold(c), "­", ""), "–—−“”", '---""')
+def base_text(t: str) -> str:
+    """Unescaped, lowered, then NFKC (in this order); plain dashes and quotes, no markup."""
+    t = unicodedata.normalize("NFKC", html.unescape(t).lower())
+    for mark, to in PLAIN:
+        t = t.replace(mark, to)
     for pattern, to in MARKUP:
-        c = F.regexp_replace(c, pattern, to)
-    return c
+        t = pattern.sub(to, t)
+    return t
 
 
-def drop_boilerplate(c: Column) -> Column:
+def without_boilerplate(t: str) -> str:
     """Lines stripped, publisher lines dropped, blank ones kept."""
 
-    def kept(line: Column) -> Column:
-        low = F.lower(line)
-        bad = low.isin(*BOILERPLATE_WHOLE)
-        for x in BOILERPLATE_FIRST:
-            bad = bad | low.startswith(x)
-        for x in BOILERPLATE_INSIDE:
-            bad = bad | low.contains(x)
-        return ~bad
+    def kept(line: str) -> bool:
+        low = line.lower()
+        return not (low in BOILERPLATE_WHOLE or low.startswith(BOILERPLATE_FIRST) or any(x in low for x in BOILERPLATE_INSIDE))
+
+    lines, low = [line.strip() for line in t.splitlines()], t.lower()
+    if any(x in low for x in (*BOILERPLATE_FIRST, *BOILERPLATE_WHOLE, *BOILERPLATE_INSIDE)):
+        lines = filter(kept, lines)
+    return "\n".join(lines)
+
+
+def _digital(t: str) -> str:
+    t = without_boilerplate(base_text(t))
+    return BROKEN_WORD.sub(r"\1\2", t) if LINE_HYPHEN.search(t) else t
+
+
+def _extracted(t: str) -> str:
+    return without_boilerplate(base_text(t))
+
+
+def _flat(t: str) -> str:
+    """Runs of white space to one space each, then hyphens to spaces."""
+    first, last = (" " if t[i : i + 1 or None].isspace() else "" for i in (0, -1))
+    return ((first + " ".join(t.split()) + last) if not t.isspace() else " ").replace("-", " ")
+
+
+def words_in(t: str) -> list[str]:
+    return LONG_WORD.findall(t)
 
-    return F.array_join(F.filter(F.transform(split_lines(c), strip), kept), "\n")
 
+def digital_words(t: str) -> list[str]:
+    """Long words of a page's text layer; white space and hyphens are none, so they stay."""
+    return words_in(_digital(t))
 
-def _flat(c: Column) -> Column:
-    return F.translate(collapse(c), "-", " ")
 
+def extracted_words(t: str) -> list[str]:
+    return words_in(_extracted(t))
 
-def normalize_digital(c: Column) -> Column:
-    """Text layer of a page: as below, and words broken at line ends mended."""
-    c = drop_boilerplate(base_normalize(c))
-    return _flat(F.regexp_replace(c, rf"(?U)([a-z]{{2,}})-{_S}*\n{_S}*([a-z]{{2,}})", "$1$2"))
 
+def _by_workers(body: Callable, kind: DataType) -> Callable[[Column], Column]:
+    @F.pandas_udf(kind)
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(body, na_action="ignore")
 
-def normalize_extracted(c: Column) -> Column:
-    return _flat(drop_boilerplate(base_normalize(c)))
+    return run
 
 
-def long_words(c: Column, least: int = MIN_LETTERS) -> Column:
-    return F.regexp_extract_all(c, F.lit(rf"(?U)\b([a-z]{{{least},}})\b"), 1)
+base_normalize = _by_workers(base_text, StringType())
+drop_boilerplate = _by_workers(without_boilerplate, StringType())
+#: Text layer of a page: as below, and words broken at line ends mended.
+normalize_digital = _by_workers(lambda t: _flat(_digital(t)), StringType())
+normalize_extracted = _by_workers(lambda t: _flat(_extracted(t)), StringType())
+long_words = _by_workers(words_in, ArrayType(StringType()))

@@ -57,6 +57,11 @@ def test_captions_joins_and_names(one):
     assert one(T.base_normalize, 'Ａ­b $x<y$ \\alpha <img src="i" alt="Pic"> <b>z</b> “q”').split() == ["ab", "pic", "z", '"q"']
 
 
+def test_words_end_where_the_sql_ends_them(one):
+    assert one(T.long_words, "abcdefg\u0489 hijklm\u0301n_ opqrst") == ["abcdefg", "hijklm", "opqrst"]  # marks are no letters
+    assert one(T.normalize_digital, " ab-\n\ncd-\nef  x\n") == "abcd  ef x" and one(T.normalize_extracted, "") == "" and one(T.normalize_digital, None) is None
+
+
 def test_classification(one):
     kind = lambda c: blocks.classify(c)["type"]
     cases = {"## A": "heading", "## A\n  b": "paragraph", "<br/>": "html", "</p>": "paragraph", "- a\n  - b": "list", "1) x": "list", "<FIGURE>x</FIGURE>": "figure", "<table>\n</table>": "table", "text": "paragraph"}

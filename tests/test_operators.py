@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import html
 import random
+import re
+import unicodedata
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,6 +200,39 @@ def test_recall(spark):
     assert {r["doc_id"]: r["count_recall"] for r in recall.count_recall(pairs).collect()}[1] == 0.5
 
 
+def odd_pairs():
+    """Pairs of texts, and the words of both by the rules written out one after the other."""
+
+    def words(t, digital):
+        t = unicodedata.normalize("NFKC", html.unescape(t).lower()).replace("\u00ad", "")
+        for a, b in zip("–—−“”", '---""', strict=True):
+            t = t.replace(a, b)
+        t = re.sub(r"\\[a-zA-Z]+", " ", re.sub(r"\$[^$]*\$", " ", t)).replace("$", " ")
+        t = re.sub(r"<[^>]+>", " ", re.sub(r'<img\b[^>]*\balt="([^"]*)"[^>]*>', r" \1 ", t))
+        bad = lambda x: x == "springer" or x.startswith(("https://doi.org/", "received:", "© the author")) or "published online:" in x or "extended author information available on the last page of the article" in x
+        t = "\n".join(x.strip() for x in t.splitlines() if not bad(x.strip().lower()))
+        t = re.sub(r"([a-z]{2,})-\s*\n\s*([a-z]{2,})", r"\1\2", t) if digital else t
+        return re.findall(r"\b[a-z]{6,}\b", re.sub(r"\s+", " ", t).replace("-", " "))
+
+    r = random.Random(5)
+    parts = ["alphas", "betass", "multi-\n", "centric", "ab-\r\n\x0b", "cd-\n", "\n", "\x1c", "Received: 1", "springer", "\n© The Authors", "$x<y$", "&amp;", "<b>", '<img src="i" alt="picture">', "\\alpha", "abcdefg\u0489", "éabcdef", "ﬁgures", "\xad", "a–b", " ", "\x85", "\u2028"]
+    texts = ["", None, " \n", *["".join(r.choices([*parts, " "], k=r.randint(1, 30))) for _ in range(300)]]
+    return [(d, e, words(d or "", True), words(e or "", False)) for d, e in zip(texts, r.sample(texts, len(texts)), strict=True)]
+
+
+def test_recall_counts_in_one_pass(spark):
+    odd = odd_pairs()
+    pairs = spark.createDataFrame([(i // 2, d, e) for i, (d, e, _, _) in enumerate(odd)], "doc_id bigint, digital_text string, extracted_text string")
+    want = {}
+    for i in range(0, len(odd), 2):  # words of one id are pooled
+        own, kept = (Counter(w for x in odd[i : i + 2] for w in x[side]) for side in (2, 3))
+        want[i // 2] = (own & kept).total() / own.total() if own else 1.0
+    got = recall.count_recall(pairs)
+    assert {r["doc_id"]: r["count_recall"] for r in got.collect()} == pytest.approx(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and not re.search("regexp|transform|Generate", plan)
+
+
 def test_pages_to_chunks(spark):
     page = "# A Study Of Many Things\n\n## Abstract\nshort text of it\n\n## Methods\n**Setup.** we did things\nmore words here\n## Results\nit was good\n"
     pages = spark.createDataFrame([(1, 1, page), (2, 1, None)], "doc_id bigint, page int, text string")
